@@ -5,15 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import packing
+from . import mixing, packing, secrets, sharding
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secrets_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharding_digest(sharding.assign_shards(table(spark, sf_dir, "documents")))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_digest(mixing.mix_sources(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_secret_scans": op4_secret_scans,
+    "op6_sharding": op6_sharding,
+    "op8_mixing": op8_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_secret_scans": secrets.ORACLE_SQL,
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import mixing, packing, secrets, sharding
+from . import mixing, neardup, packing, secrets, sharding
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,13 +24,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_digest(mixing.mix_sources(table(spark, sf_dir, "documents")))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.neardup_digest(neardup.near_duplicates(table(spark, sf_dir, "documents"), k=4))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op4_secret_scans": op4_secret_scans,
     "op6_sharding": op6_sharding,
     "op8_mixing": op8_mixing,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_secret_scans": secrets.ORACLE_SQL,
+    "op10_near_duplicates": neardup.ORACLE_SQL,
 }

@@ -40,6 +40,10 @@ def place(items: np.ndarray, n_shards: int) -> np.ndarray:
     return out
 
 
+def chunk_of(chunks: str) -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col(chunks).cast("long")).cast("int")
+
+
 def assign_shards(
     docs: DataFrame,
     *,
@@ -47,7 +51,7 @@ def assign_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     bundles_per_shard: int = 256,
-    split_share: float = 1 / 64,
+    split_share: float = 1 / 8,
     slot_parts: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -79,6 +83,13 @@ def assign_shards(
     heavy = share > 1 / n_bundles
     own = groups.where(heavy).select("gid", "b", "t", "r", F.greatest(F.lit(1), F.least(F.col("r"), F.ceil(share * n_shards / split_share))).cast("int").alias("chunks")).orderBy("gid").collect()
     light = groups.where(~heavy).groupBy(bundle.alias("item")).agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.sum("r").alias("r")).orderBy("item").collect()
+    spark = docs.sparkSession
+    # A split group's chunks by their real rows; its texts are equal, so bytes and tokens follow.
+    cut = [(x["gid"], x["chunks"]) for x in own if x["chunks"] > 1]
+    rows: dict[tuple[int, int], int] = {}
+    if cut:
+        part = base.join(F.broadcast(spark.createDataFrame(cut, "gid long, chunks int")), "gid").groupBy("gid", chunk_of("chunks").alias("chunk")).count()
+        rows = {(x["gid"], x["chunk"]): x["count"] for x in part.collect()}
     names, vectors, splits, at = [], [], [], n_bundles
     for x in light:
         names.append(x["item"])
@@ -86,16 +97,17 @@ def assign_shards(
     for x in own:
         splits.append((x["gid"], at, x["chunks"]))
         names += range(at, at + x["chunks"])
-        vectors += [(x["b"] / x["chunks"], x["t"] / x["chunks"], x["r"] / x["chunks"])] * x["chunks"]
+        for k in range(x["chunks"]):
+            part = rows.get((x["gid"], k), 0) / x["r"] if x["chunks"] > 1 else 1
+            vectors.append((x["b"] * part, x["t"] * part, x["r"] * part))
         at += x["chunks"]
     release(groups)
     shards = place(np.asarray(vectors, float).reshape(-1, 3), n_shards)
-    spark = docs.sparkSession
     placed = spark.createDataFrame(list(zip(map(int, names), map(int, shards), strict=True)), "item int, shard int")
     split = spark.createDataFrame(splits, "gid long, first int, chunks int")
 
     # Both tables have a proven bound: 3 * n_bundles groups and n_bundles + 3 * n_bundles + n_shards / split_share items.
-    chunk = F.col("first") + F.pmod(F.xxhash64("doc_id", F.lit(3)), F.col("chunks").cast("long")).cast("int")
+    chunk = F.col("first") + chunk_of("chunks")
     sharded = base.join(F.broadcast(split), "gid", "left").withColumn("item", F.coalesce(chunk, bundle)).join(F.broadcast(placed), "item")
     # An order within the shard from many small sorts: sub-buckets by hash, and their sizes added up.
     parts = slot_parts or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))

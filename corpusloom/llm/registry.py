@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
-from . import langid, mixing, neardup, packing, quality, rules, secrets, sharding
+from . import langid, mixing, neardup, packing, quality, rules, secrets, sharding, topk
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharding_digest(sharding.assign_shards(table(spark, sf_dir, "documents")))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_sharding": op6_sharding,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_mixing": op8_mixing,
@@ -53,5 +58,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_secret_scans": secrets.ORACLE_SQL,
+    "op5_exact_top_k": topk.ORACLE_SQL,
     "op10_near_duplicates": neardup.ORACLE_SQL,
 }

@@ -91,8 +91,8 @@ def sketches(flat: np.ndarray, sizes: np.ndarray, t: int) -> np.ndarray:
     return out.reshape(m, t)
 
 
-_ARROW = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
-_DDL = "row_id long, doc_id long, th long, n_shingles long, sid binary, bands array<long>, sketch binary"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
+_DDL = "doc_id long, th long, n_shingles long, sid binary, bands array<long>, sketch binary"
 
 
 def _sketch_rows(k: int, bands: int, rows: int):
@@ -102,7 +102,7 @@ def _sketch_rows(k: int, bands: int, rows: int):
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                sets = [shingle_set(x.as_py(), k) for x in batch.column(3)]
+                sets = [shingle_set(x.as_py(), k) for x in batch.column(2)]
                 sizes = np.array([len(s) for s in sets])
                 full = np.flatnonzero(sizes)
                 keys = np.zeros((len(sets), bands), np.int64)
@@ -117,7 +117,7 @@ def _sketch_rows(k: int, bands: int, rows: int):
                     keys[full] = acc.view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32)), pa.array(keys[full].ravel()))
                 sids = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(sizes, pa.int64()), pa.array(sids, pa.binary()), listed, pa.array([s.tobytes() if n else None for s, n in zip(small, sizes, strict=True)], pa.binary())], schema=_ARROW)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sids, pa.binary()), listed, pa.array([s.tobytes() if n else None for s, n in zip(small, sizes, strict=True)], pa.binary())], schema=_ARROW)
 
     return run
 
@@ -192,18 +192,18 @@ def near_duplicates(
     rows: int = 5,
     block: int = 2048,
 ) -> DataFrame:
-    """One row per row of `docs`: row_id, doc_id, n_shingles, component_id, kept.
+    """One row per row of `docs`: doc_id, text_hash, n_shingles, component_id, group_id, kept.
 
     component_id: the smallest doc_id reachable over links of at least `threshold`; kept: doc_id is
     that one. Null, empty and wordless texts have no shingles, are linked with nothing and kept.
-    Repeated rows have equal sets; rows that share the smallest id are all kept (see row_id to choose
-    one of them). A row with a null id is kept only if its component has no other id.
+    Repeated rows have equal sets; rows that share the smallest id are all kept (group_id and
+    text_hash, which is xxhash64 of the text, tell them apart). A row with a null id is kept only if its component has no other id.
     Ids are whole numbers. Only `id_col` and `text_col` are read, so other columns may have any name.
-    `row_id` numbers the rows of the input as it was read this time.
+    group_id numbers the components of this run, also those without an id; it is null without shingles.
     """
     t = bands * rows
     text = F.col(text_col).cast("string")
-    named = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     seen = materialize(named.mapInArrow(_sketch_rows(k, bands, rows), _DDL), "sketches")
 
     # One node per distinct set; nid is fixed as the table is written.
@@ -248,11 +248,12 @@ def near_duplicates(
     # Component ids; nodes without a link keep their own smallest document.
     linked = labels.join(nodes.select("nid", F.col("first.doc_id").alias("d")), "nid")
     least_doc = linked.groupBy("comp").agg(F.min("d").alias("component_id"))
-    of = labels.join(least_doc, "comp").select("nid", "component_id", F.lit(True).alias("multi"))
-    of = nodes.select("sid", "nid", F.col("first.doc_id").alias("d")).join(of, "nid", "left").select("sid", F.when(F.col("multi"), F.col("component_id")).otherwise(F.col("d")).alias("component_id"))
-    out = seen.select("row_id", "doc_id", "n_shingles", "sid").join(of, "sid", "left")
+    of = labels.join(least_doc, "comp").select("nid", "component_id", F.col("comp").alias("group_id"))
+    of = nodes.select("sid", "nid", F.col("first.doc_id").alias("d")).join(of, "nid", "left")
+    of = of.select("sid", F.when(F.col("group_id").isNotNull(), F.col("component_id")).otherwise(F.col("d")).alias("component_id"), F.coalesce("group_id", "nid").alias("group_id"))
+    out = seen.select("doc_id", F.col("th").alias("text_hash"), "n_shingles", "sid").join(of, "sid", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("row_id", "doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), "group_id").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def neardup_digest(found: DataFrame) -> DataFrame:

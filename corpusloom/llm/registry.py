@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from ..session import table
-from . import langid, mixing, neardup, packing, quality, rules, secrets, sharding, topk
+from . import htmltext, langid, mixing, neardup, packing, quality, rules, secrets, sharding, topk
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_digest(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_text(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rules_digest(rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
@@ -46,6 +52,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_html_extraction": op2_html_extraction,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op5_exact_top_k": op5_exact_top_k,
@@ -56,6 +63,8 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
 ORACLE_SQL: dict[str, str] = {
     "op4_secret_scans": secrets.ORACLE_SQL,
     "op5_exact_top_k": topk.ORACLE_SQL,

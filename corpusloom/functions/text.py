@@ -1,0 +1,145 @@
+"""Text cleaning as column expressions (CLN-0..11) and document measures (MET-1..5)."""
+
+from __future__ import annotations
+
+import unicodedata
+from dataclasses import dataclass
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
+
+from .chars import WS
+
+#: Patterns of the cleaning steps.
+NOISE = "[\\u200b-\\u200f\\u202a-\\u202e\\u2060-\\u2064\\ufeff\\u00ad\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]"
+TAG = "<[^>]{1,256}>"
+URL = f"https?://[^{WS}]+|www\\.[^{WS}]+|ftp://[^{WS}]+"
+EMAIL = "\\b[\\w.+-]+@[\\w-]+\\.[a-z]{2,}\\b"
+PHONE = "\\b(\\+?\\d[\\d\\s\\-().]{6,}\\d)\\b"
+PUNCTUATION = "[.,!?;:\"'()\\[\\]{}]"
+
+
+def _normalizer(form: str):
+    @pandas_udf(StringType())
+    def normalize(text: pd.Series) -> pd.Series:
+        return text.map(lambda x: x if x is None or x.isascii() or unicodedata.is_normalized(form, x) else unicodedata.normalize(form, x))
+
+    return normalize
+
+
+def unicode_normalize(text: Column, form: str = "NFC") -> Column:
+    """Spark has no built-in for this; the fast path for normalized texts is inside the Arrow UDF."""
+    return _normalizer(form)(text)
+
+
+@pandas_udf(StringType())
+def dedupe_lines(text: pd.Series) -> pd.Series:
+    """First line of each stripped key; blank lines count as one key. Linear in the text."""
+
+    def one(x: str | None) -> str | None:
+        if x is None:
+            return None
+        first: dict[str, str] = {}
+        for line in x.splitlines():
+            first.setdefault(line.strip(), line)
+        return "\n".join(first.values())
+
+    return text.map(one)
+
+
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, f"^[{WS}]+|[{WS}]+$", "")
+
+
+def n_words(text: Column) -> Column:
+    """Runs of other than Unicode white space, as str.split() counts them."""
+    return F.regexp_count(text, F.lit(f"[^{WS}]+")).cast("long")
+
+
+@dataclass(frozen=True)
+class CleanConfig:
+    strip_urls: bool = True
+    strip_emails: bool = True
+    strip_phones: bool = False
+    strip_html: bool = True
+    dedupe_lines: bool = True
+    min_chars: int = 50
+    max_chars: int = 1_000_000
+    unicode_form: str = "NFC"
+
+
+def clean(docs: DataFrame, config: CleanConfig = CleanConfig(), *, text_col: str = "text", title_col: str | None = None, out_col: str = "clean_text") -> DataFrame:
+    """Adds `out_col`: the cleaned text, or null where the text is null or fails a length gate (before or after)."""
+    text = F.col(text_col)
+    gate = F.length(text).between(config.min_chars, config.max_chars)
+    x = F.when(gate, text)
+    if title_col:
+        title = strip(F.coalesce(F.col(title_col), F.lit("")))
+        twice = F.concat(title, F.lit(" "), title)
+        x = F.when((F.length(title) >= 4) & x.startswith(twice), F.concat(title, F.substring(x, F.length(twice) + 1, F.length(x)))).otherwise(x)
+    x = F.regexp_replace(unicode_normalize(x, config.unicode_form), NOISE, "")
+    if config.strip_html:
+        x = F.regexp_replace(x, TAG, " ")
+    patterns = [URL] * config.strip_urls + [EMAIL] * config.strip_emails
+    if patterns:
+        x = F.regexp_replace(x, "(?iU)" + "|".join(patterns), " ")
+    if config.strip_phones:
+        x = F.regexp_replace(x, "(?U)" + PHONE, " ")
+    x = F.regexp_replace(F.regexp_replace(F.regexp_replace(x, "\r\n?", "\n"), "[ \t]+", " "), "\n{3,}", "\n\n")
+    if config.dedupe_lines:
+        x = dedupe_lines(x)
+    out = docs.withColumn(out_col, strip(x))
+    return out.withColumn(out_col, F.when(F.length(out_col).between(config.min_chars, config.max_chars), F.col(out_col)))
+
+
+def counters(text: Column) -> list[Column]:
+    """char_count, word_count, token_estimate (a quarter of the characters, at least 1)."""
+    n = F.length(text).cast("long")
+    return [n.alias("char_count"), n_words(text).alias("word_count"), F.greatest(F.lit(1).cast("long"), F.shiftright(n, 2)).alias("token_estimate")]
+
+
+def corpus_normalize(text: Column) -> Column:
+    """NFKC, single spaces, at most one blank line, stripped (what tokenizers are fed)."""
+    x = unicode_normalize(text, "NFKC")
+    return strip(F.regexp_replace(F.regexp_replace(x, "[ \t]+", " "), "\n{3,}", "\n\n"))
+
+
+def sentence_count(text: Column) -> Column:
+    parts = F.split(text, f"(?<=[.!?])[{WS}]+")
+    return F.greatest(F.lit(1), F.size(F.filter(parts, lambda p: F.length(strip(p)) > 0))).cast("long")
+
+
+def document_measures(text: Column) -> list[Column]:
+    """MET-1..5 as integers and a hash; ratios are these over char_count and sentence_count."""
+    return [sentence_count(text).alias("sentence_count"), F.regexp_count(text, F.lit(PUNCTUATION)).cast("long").alias("n_punctuation"), F.regexp_count(text, F.lit("\\p{Nd}")).cast("long").alias("n_numeric"), F.sha2(text, 256).alias("content_hash")]
+
+
+def metadata_record(docs: DataFrame, *, text_col: str = "clean_text", version: str = "1.0.0", extra: dict[str, str] | None = None) -> DataFrame:
+    """Adds `metadata_json`, one JSON object a document; `extra` fields come last and win over none of the others."""
+    text = F.col(text_col)
+    n_sent = sentence_count(text)
+    words = n_words(text)
+    ratio = lambda p: F.round(F.regexp_count(text, F.lit(p)) / F.greatest(F.length(text), F.lit(1)), 4)
+    col = lambda name: F.col(name) if name in docs.columns else F.lit(None).cast("string")
+    fields = [
+        F.lit(version).alias("pipeline_version"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("build_timestamp"),
+        col("source").alias("source"),
+        F.coalesce(col("url"), col("source")).alias("url"),
+        F.coalesce(col("title"), F.lit("")).alias("title"),
+        col("doc_id").cast("string").alias("doc_id"),
+        col("language").alias("language"),
+        col("lang_confidence").alias("lang_confidence"),
+        col("quality_score").alias("quality_score"),
+        *counters(text),
+        n_sent.alias("sentence_count"),
+        F.round(words / n_sent, 2).alias("avg_sentence_len"),
+        ratio(PUNCTUATION).alias("punctuation_ratio"),
+        ratio("\\p{Nd}").alias("numeric_ratio"),
+        F.sha2(text, 256).alias("content_hash"),
+        *[F.lit(v).alias(k) for k, v in (extra or {}).items()],
+    ]
+    return docs.withColumn("metadata_json", F.to_json(F.struct(*fields)))

@@ -10,7 +10,6 @@ a kept one are dropped, and so on until none is undecided. Two shuffles a round,
 from __future__ import annotations
 
 import hashlib
-import tempfile
 
 import numpy as np
 import pandas as pd
@@ -19,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, LongType
 
+from ..scratch import materialize
+
 #: The linear congruential generator that draws the hash family.
 SEED, LCG_A, LCG_C = 42, 1664525, 1013904223
 
@@ -38,6 +39,19 @@ def drop_seen(new: DataFrame, seen: DataFrame, key: str = "fp") -> DataFrame:
     return new.dropDuplicates([key]).join(seen.select(key), key, "left_anti")
 
 
+class _Prefixes(dict):
+    """Shingle -> first 32 bits of its MD5, for the shingles met lately (they repeat a lot)."""
+
+    def __missing__(self, shingle: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        self[shingle] = h = int.from_bytes(hashlib.md5(shingle.encode("utf-8", "surrogatepass")).digest()[:4], "big")
+        return h
+
+
+_prefixes = _Prefixes()
+
+
 def hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
     x, pairs = SEED, []
     for _ in range(n):
@@ -57,7 +71,7 @@ def signature_udf(n_hashes: int = 128, shingle: int = 5):
             return None
         low = text.lower()
         found = {low[i : i + shingle] for i in range(max(1, len(low) - shingle + 1))}
-        h = np.frombuffer(b"".join(hashlib.md5(s.encode("utf-8", "surrogatepass")).digest()[:4] for s in found), ">u4").astype(np.uint64)
+        h = np.fromiter(map(_prefixes.__getitem__, found), np.uint64, len(found))
         best = np.full(n_hashes, 0xFFFFFFFF, np.uint64)
         for at in range(0, len(h), 4096):
             block = (h[at : at + 4096, None] * a + b) & np.uint64(0xFFFFFFFF)
@@ -79,11 +93,8 @@ def band_keys(signature: Column, n_bands: int = 16, n_hashes: int = 128) -> Colu
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in spark.checkpoint.dir; a folder of our own only where that is unset."""
-    spark = df.sparkSession
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
-    return df.checkpoint()
+    """A written table in spark.checkpoint.dir: unlike checkpoint(), the plan runs once."""
+    return materialize(df, "round")
 
 
 def lsh_keep(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_hashes: int = 128, n_bands: int = 16, shingle: int = 5, seen: DataFrame | None = None) -> DataFrame:

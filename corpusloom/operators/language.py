@@ -8,33 +8,40 @@ Profiles are a parameter: any table (lang, rank, gram), or built from labelled t
 from __future__ import annotations
 
 import json
+from collections import Counter
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 SAMPLE = 2000
 PROFILE = 30
 
 
-def _grams(text: Column) -> Column:
-    """Array of (pos, gram) over the sample; characters are split once, so the cost is linear."""
-    chars = F.split(F.lower(F.substring(text, 1, SAMPLE)), "")
-    # Three aligned copies of the array: one pass, where indexing into it would split the text for every position.
-    three = F.arrays_zip(chars.alias("a"), F.slice(chars, 2, SAMPLE * 2).alias("b"), F.slice(chars, 3, SAMPLE * 2).alias("c"))
-    return F.transform(three, lambda x, i: F.struct((i + 1).alias("pos"), F.concat(x["a"], x["b"], x["c"]).alias("gram")))
+def _sample(text: str | None) -> str:
+    return (text or "")[:SAMPLE].lower()
 
 
-def grams(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """id, pos, gram for every trigram of every document's sample."""
-    rows = docs.select(F.col(id_col).alias("id"), *keep, F.explode(_grams(F.col(text_col))).alias("g"))
-    return rows.select("id", *keep, "g.pos", "g.gram").where("gram is not null")
+def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = PROFILE) -> DataFrame:
+    """lang, rank (from 0), gram: the n most frequent trigrams of each language, ties by gram.
 
+    Trigrams are counted per Arrow batch first, so that only distinct ones are shuffled.
+    """
 
-def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = PROFILE) -> DataFrame:
-    """lang, rank (from 0), gram: the n most frequent trigrams of each language, ties by gram."""
-    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.explode(_grams(F.col(text_col))).alias("g"))
-    counts = rows.select("lang", F.col("g.gram").alias("gram")).where("gram is not null").groupBy("lang", "gram").count()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "gram")) - 1
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got: Counter = Counter()
+            for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
+                s = _sample(text)
+                got.update((lang, s[i : i + 3]) for i in range(len(s) - 2))
+            yield pd.DataFrame([(*k, v) for k, v in got.items()], columns=["lang", "gram", "n"])
+
+    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE).alias("text"))
+    counts = rows.mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
     return counts.withColumn("rank", rank).where(F.col("rank") < n).select("lang", "rank", "gram")
 
 
@@ -45,17 +52,46 @@ def profiles_from_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(lang, rank, gram) for (lang, gram), rank in rows.items()], "lang string, rank int, gram string")
 
 
-def detect(docs: DataFrame, profiles: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = PROFILE) -> DataFrame:
-    """id, language, best, total: highest score (ties: earliest first match, then name) and the sum of all languages'.
+def scorer(profiles: DataFrame, text_col: str = "text", n: int = PROFILE, most: int = 200_000) -> Column:
+    """struct<language, best, total>: highest score (ties: earliest first match, then name) and the sum of all languages'.
 
-    Confidence is best / total. Texts without a profile gram are 'unknown' with 0 and 0.
+    Confidence is best / total. Texts without a profile gram are 'unknown' with 0 and 0. Scoring is one Arrow
+    pass without a shuffle; the profile table (n rows a language, at most `most` rows) goes along with it.
     """
-    found = grams(docs, id_col=id_col, text_col=text_col)
-    # A profile table has n rows a language, so a few thousand rows at most.
-    scores = found.join(F.broadcast(profiles), "gram").groupBy("id", "lang").agg(F.sum(F.lit(n) - F.col("rank")).alias("score"), F.min("pos").alias("first"))
-    best = scores.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("s"), "first", "lang")).alias("b"), F.sum("score").alias("total"))
-    out = docs.select(F.col(id_col).alias("id")).join(best, "id", "left")
-    return out.select("id", F.coalesce("b.lang", F.lit("unknown")).alias("language"), F.coalesce(-F.col("b.s"), F.lit(0)).cast("long").alias("best"), F.coalesce("total", F.lit(0)).cast("long").alias("total"))
+    listed = profiles.select("lang", "rank", "gram").limit(most + 1).collect()
+    if len(listed) > most:
+        raise ValueError(f"more than {most} profile rows")
+    index: dict[str, list[tuple[str, int]]] = {}
+    for r in sorted(listed):
+        index.setdefault(r["gram"], []).append((r["lang"], n - r["rank"]))
+
+    def one(text: str | None) -> tuple[str, int, int]:
+        s, scores, first = _sample(text), {}, {}
+        for i in range(len(s) - 2):
+            for lang, score in index.get(s[i : i + 3], ()):
+                scores[lang] = scores.get(lang, 0) + score
+                first.setdefault(lang, i)
+        if not scores:
+            return "unknown", 0, 0
+        best = min(scores, key=lambda x: (-scores[x], first[x], x))
+        return best, scores[best], sum(scores.values())
+
+    @pandas_udf(StructType([StructField("language", StringType()), StructField("best", LongType()), StructField("total", LongType())]))
+    def score(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(x) for x in text], columns=["language", "best", "total"])
+
+    return score(F.substring(text_col, 1, SAMPLE))
+
+
+def detect(docs: DataFrame, profiles: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = PROFILE) -> DataFrame:
+    """id, language, best, total (see `scorer`)."""
+    return docs.select(F.col(id_col).alias("id"), scorer(profiles, text_col, n).alias("x")).select("id", "x.language", "x.best", "x.total")
+
+
+def with_language(docs: DataFrame, profiles: DataFrame, *, text_col: str = "text", n: int = PROFILE) -> DataFrame:
+    """`docs` with language, best and total; no join, no shuffle."""
+    scored = docs.withColumn("_x", scorer(profiles, text_col, n))
+    return scored.withColumns({c: F.col(f"_x.{c}") for c in ("language", "best", "total")}).drop("_x")
 
 
 def language_gate(language: Column, best: Column, total: Column, *, min_confidence: float = 0.1, allowed: tuple[str, ...] = ()) -> Column:

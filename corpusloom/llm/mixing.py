@@ -27,6 +27,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def source_key(source: Column) -> Column:
+    """A key without nulls, so that joins and windows on it share a partitioning; null has a key of its own."""
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
 def water_fill(sizes: list[float], weights: list[float], total: float, most: float) -> list[float]:
     """Shares of `total` by weight; one above `most` times its size stops there and its excess goes to the others."""
     out, open_, left = [0.0] * len(sizes), [i for i, x in enumerate(sizes) if x > 0], total
@@ -101,6 +106,7 @@ def mix_sources(
     sized = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
+        source_key(F.col(source_col)).alias("skey"),
         n_words(text).alias("size"),
         key.alias("key"),
         F.struct(*[F.col(c) for c in keep] or [F.lit(None).cast("string").alias("none")]).alias("row"),
@@ -109,7 +115,7 @@ def mix_sources(
     n = sized.count()
     shards = max(1, -(-n // docs_per_shard))
     sized = sized.withColumn("shard", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)).cast("int"))
-    cells = sized.groupBy("source", "shard").agg(F.sum("size").alias("words"))
+    cells = sized.groupBy("source", "skey", "shard").agg(F.sum("size").alias("words"))
     # One row a source.
     found = sorted(((x["source"], int(x["words"])) for x in cells.groupBy("source").agg(F.sum("words").alias("words")).collect()), key=lambda x: (x[0] is None, x[0] or ""))
     sizes = [x[1] for x in found]
@@ -117,26 +123,25 @@ def mix_sources(
     targets = water_fill(sizes, w, share * sum(sizes), most)
     quotas = sainte_lague(np.asarray(targets), round(sum(targets) / block), np.ceil(np.asarray(sizes) * most / block))
     plan = docs.sparkSession.createDataFrame([(s, z, float(t), int(q)) for (s, z), t, q in zip(found, targets, quotas, strict=True)], "source string, source_size long, target double, quota long")
+    plan = plan.select(source_key(F.col("source")).alias("skey"), "source_size", "target", "quota")
 
     def divide(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("shard", ignore_index=True)
         words = pdf["words"].to_numpy(np.int64)
         got = sainte_lague(words, int(pdf["quota"].iloc[0]), np.ceil(words * most / block))
-        return pd.DataFrame({"source": pdf["source"], "shard": pdf["shard"], "words": words, "blocks": got})
+        return pd.DataFrame({"skey": pdf["skey"], "shard": pdf["shard"], "words": words, "blocks": got})
 
-    same = lambda a, b: a.eqNullSafe(b)
     small = F.broadcast(plan) if len(found) <= 100_000 else plan  # one row a source
-    parts = cells.alias("c").join(small.alias("p"), same(F.col("c.source"), F.col("p.source"))).select("c.source", "shard", "words", "quota")
-    blocks = materialize(parts.groupBy("source").applyInPandas(divide, "source string, shard int, words long, blocks long"), "blocks")
-    stream = Window.partitionBy("source", "shard").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("before", F.coalesce(F.sum("size").over(stream), F.lit(0)))
-    placed = placed.alias("d").join(blocks.alias("b"), same(F.col("d.source"), F.col("b.source")) & (F.col("d.shard") == F.col("b.shard")))
+    parts = cells.join(small, "skey").select("skey", "shard", "words", "quota")
+    blocks = materialize(parts.groupBy("skey").applyInPandas(divide, "skey string, shard int, words long, blocks long"), "blocks")
+    # The running sums and the join with the blocks share one partitioning, so documents move once.
+    stream = Window.partitionBy("skey", "shard").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumn("before", F.coalesce(F.sum("size").over(stream), F.lit(0))).join(blocks, ["skey", "shard"])
     budget = F.least(F.col("blocks") * block, F.floor(F.col("words") * most))
     rounds = F.when(F.col("words") > 0, F.floor(budget / F.col("words"))).otherwise(0)
     part = budget - rounds * F.col("words") - F.col("before")
     taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), part))
-    placed = placed.select("doc_id", F.col("d.source").alias("source"), "size", taken.cast("long").alias("taken"), "row")
-    return placed.alias("d").join(small.alias("p"), same(F.col("d.source"), F.col("p.source"))).select("doc_id", F.col("d.source").alias("source"), "size", "source_size", "target", "quota", "taken", "row")
+    return placed.join(small, "skey").select("doc_id", "source", "size", "source_size", "target", "quota", taken.cast("long").alias("taken"), "row")
 
 
 def mixing_digest(mixed: DataFrame) -> DataFrame:
@@ -150,6 +155,5 @@ def write_out(mixed: DataFrame, text: str = "row.text") -> DataFrame:
     """
     copies = mixed.where("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), ((F.col("taken") - 1) / F.col("size")).cast("int"))))
     words = F.least(F.col("size"), F.col("taken") - F.col("copy") * F.col("size"))
-    head = F.regexp_extract(text, "^(?:[\\x20\\x09-\\x0D]*" + WORD + ")", 0)
     cut = F.when(words >= F.col("size"), F.col(text)).otherwise(F.array_join(F.slice(F.regexp_extract_all(text, F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0)), F.lit(1), words.cast("int")), ""))
-    return copies.select("doc_id", "copy", F.coalesce(cut, head).alias("text"), "row")
+    return copies.select("doc_id", "copy", cut.alias("text"), "row")

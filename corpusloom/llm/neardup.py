@@ -18,6 +18,7 @@ shares no band with probability (1 - s^rows)^bands, 3e-6 at 0.8.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, kept for the words met lately."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -64,7 +65,7 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
         return np.empty(0, _U)
     h = np.fromiter(map(_hashes.__getitem__, words), _U, n)
     if n < k:
-        return _mix(np.atleast_1d((h * _MULT[:n]).sum(dtype=_U) + _U(n) * _U(0x2545F4914F6CDD1D)))
+        return _mix(np.atleast_1d((h * _MULT[:n]).sum(dtype=_U) + _U(n * 0x2545F4914F6CDD1D & 0xFFFFFFFFFFFFFFFF)))
     s = h[: n - k + 1] * _MULT[0]
     for i in range(1, k):
         s += h[i : n - k + 1 + i] * _MULT[i]
@@ -73,26 +74,32 @@ def shingle_set(text: str | None, k: int) -> np.ndarray:
 
 def sketches(flat: np.ndarray, sizes: np.ndarray, t: int) -> np.ndarray:
     """Fast similarity sketches, one row of `t` values per non-empty set; sets lie one after another in `flat`."""
+    none = np.iinfo(np.uint64).max
     m = len(sizes)
-    out = np.full(m * t, np.iinfo(np.uint64).max, _U)
-    owner = np.repeat(np.arange(m), sizes)
-    x = flat
+    out = np.full((m, t), none, _U)
+    active = np.arange(m)  # sets with an empty coordinate; `work` has their rows
+    work, owner, x = out.copy(), np.repeat(np.arange(m), sizes), flat
     for i in range(2 * t):
         h = _mix(x ^ _mix(np.atleast_1d(_U((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))))
         bins = ((h >> _U(32)) % _U(t)).astype(np.int64) if i < t else np.full(len(x), i - t)
         # No later round can undercut an earlier one: the round is the value's whole part.
-        np.minimum.at(out, owner * t + bins, (h & _U(0xFFFFFFFF)) | (_U(i) << _U(32)))
-        short = (out.reshape(m, t) == np.iinfo(np.uint64).max).any(axis=1)
+        np.minimum.at(work.reshape(-1), owner * t + bins, (h & _U(0xFFFFFFFF)) | (_U(i) << _U(32)))
+        if i > 8 and i % 8 and i < 2 * t - 1:
+            continue  # an extra round changes nothing in a full sketch
+        short = (work == none).any(axis=1)
+        if short.all():
+            continue
+        out[active[~short]] = work[~short]
         if not short.any():
             break
         stay = short[owner]
-        if not stay.all():
-            x, owner = x[stay], owner[stay]
-    return out.reshape(m, t)
+        active, work = active[short], work[short]
+        x, owner = x[stay], (np.cumsum(short) - 1)[owner[stay]]
+    return out
 
 
-_ARROW = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
-_DDL = "doc_id long, th long, n_shingles long, sid binary, bands array<long>, sketch binary"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_DDL = "doc_id long, th long, n_shingles long, sid binary, bands array<long>"
 
 
 def _sketch_rows(k: int, bands: int, rows: int):
@@ -106,10 +113,8 @@ def _sketch_rows(k: int, bands: int, rows: int):
                 sizes = np.array([len(s) for s in sets])
                 full = np.flatnonzero(sizes)
                 keys = np.zeros((len(sets), bands), np.int64)
-                small = np.zeros((len(sets), t), np.uint8)
                 if len(full):
                     sk = sketches(np.concatenate([sets[i] for i in full]), sizes[full], t)
-                    small[full] = (_mix(sk) & _U(255)).astype(np.uint8)
                     by = _mix(sk).reshape(len(full), bands, rows)
                     acc = np.broadcast_to(_mix(np.arange(1, bands + 1, dtype=_U)), (len(full), bands)).copy()
                     for r in range(rows):
@@ -117,7 +122,7 @@ def _sketch_rows(k: int, bands: int, rows: int):
                     keys[full] = acc.view(np.int64)
                 listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32)), pa.array(keys[full].ravel()))
                 sids = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sids, pa.binary()), listed, pa.array([s.tobytes() if n else None for s, n in zip(small, sizes, strict=True)], pa.binary())], schema=_ARROW)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sids, pa.binary()), listed], schema=_ARROW)
 
     return run
 
@@ -142,36 +147,96 @@ def _verify(k: int, threshold: float):
     return run
 
 
-def _rivals(t: int, least: int, cents: int):
-    """Within one block pair of a bucket: pairs of different components that may be similar enough."""
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        left, right = pdf[pdf["block"] == i], pdf[pdf["block"] == j]
-        other = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(-1, t)
-        rc, rn, rid = right["comp"].to_numpy(), right["n"].to_numpy(), right["nid"].to_numpy()
-        a, b = [], []
-        for nid, comp, n, sk in zip(left["nid"], left["comp"], left["n"], left["sketch"], strict=True):
-            near = (rc != comp) & (100 * np.minimum(rn, n) >= cents * np.maximum(rn, n))
-            if i == j:
-                near &= rid > nid
-            at = np.flatnonzero(near)
-            if len(at):
-                at = at[(other[at] == np.frombuffer(sk, np.uint8)).sum(axis=1) >= least]
-                a += [nid] * len(at)
-                b += rid[at].tolist()
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+#: Coordinates of the second, one-bit sketch. Two sets agree in a bit with probability (1 + J) / 2.
+BITS = 4096
+
+
+def _bit_rows(k: int):
+    """(nid, text) to (nid, bits): one bit of each coordinate of a long sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
+                sets = [shingle_set(x.as_py(), k) for x in batch.column(1)]
+                sk = sketches(np.concatenate(sets), np.array([len(s) for s in sets]), BITS)
+                bits = np.packbits((_mix(sk) & _U(1)).astype(np.uint8), axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in bits], pa.binary())], names=["nid", "bits"])
+
+    return run
+
+
+def _rivals(least: int, cents: int):
+    """Within one pair of a bucket's blocks: pairs of different components that may be similar enough.
+
+    Each pair comes from the first band that its two nodes share, so no pair comes twice.
+    """
+
+    def meet(rows: dict[str, np.ndarray]) -> np.ndarray:
+        """Pairs (left, right) of one group."""
+        bucket, i, j = rows["key"][0], rows["i"][0], rows["j"][0]
+        found: list[np.ndarray] = []
+        left, right = np.flatnonzero(rows["block"] == i), np.flatnonzero(rows["block"] == j)
+        if len(left) and len(right):
+            (lbits, rbits), (lc, rc), (ln, rn), (lid, rid), (lb, rb) = ((rows[c][left], rows[c][right]) for c in ("bits", "comp", "n", "nid", "bands"))
+            band = int((lb[0] == bucket).argmax())
+            for at in range(0, len(left), 128):  # a few rows at a time: the matrices stay small
+                to = slice(at, at + 128)
+                near = lc[to, None] != rc[None]
+                near &= 100 * np.minimum(ln[to, None], rn[None]) >= cents * np.maximum(ln[to, None], rn[None])
+                if i == j:
+                    near &= lid[to, None] < rid[None]
+                for k in range(band):
+                    near &= lb[to, k, None] != rb[None, :, k]
+                x, y = np.nonzero(near)
+                x += at
+                for some in range(0, len(x), 8192):
+                    p, q = x[some : some + 8192], y[some : some + 8192]
+                    close = np.bitwise_count(lbits[p] ^ rbits[q]).sum(axis=1, dtype=np.int64) <= BITS - least
+                    found.append(np.stack([lid[p], rid[q]], axis=1)[close])
+        return np.concatenate(found) if found else np.empty((0, 2), np.int64)
+
+    def columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "block", "nid", "comp")}
+        out["n"] = batch.column("n").to_numpy(zero_copy_only=False).astype(np.float64)
+        out["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), _U).reshape(batch.num_rows, -1)
+        out["bands"] = batch.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by group; a group that a batch breaks off waits for the next one."""
+
+        def emit(pairs: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(pairs.max(axis=1, initial=-1)), pa.array(pairs.min(axis=1, initial=(1 << 63) - 1))], names=["a", "b"])
+
+        held: dict[str, np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = columns(batch)
+            if held is not None:
+                rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
+            new = np.zeros(len(rows["key"]), bool)
+            for c in ("key", "i", "j"):
+                new[1:] |= rows[c][1:] != rows[c][:-1]
+            edges = [0, *np.flatnonzero(new).tolist()]
+            done = [meet({c: v[lo:hi] for c, v in rows.items()}) for lo, hi in pairwise(edges)]
+            held = {c: v[edges[-1] :] for c, v in rows.items()}
+            if done:
+                yield emit(np.concatenate(done))
+        if held is not None:
+            yield emit(meet(held))
 
     return run
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """nid, comp (the smallest nid reachable) for the nodes of edges (a, b); iterated min-label with pointer jumping."""
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("comp")).withColumnRenamed("a", "nid"), "labels")
+    both = materialize(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))).distinct(), "edges")
+    labels = materialize(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("comp")).withColumnRenamed("u", "nid"), "labels")
     while True:
-        spread = both.join(labels.withColumnRenamed("nid", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
-        lower = labels.join(spread.withColumnRenamed("a", "nid"), "nid").select("nid", "comp", F.least("comp", "near").alias("next"))
+        spread = both.join(labels.withColumnRenamed("nid", "v"), "v").groupBy("u").agg(F.min("comp").alias("near"))
+        lower = labels.join(spread.withColumnRenamed("u", "nid"), "nid").select("nid", "comp", F.least("comp", "near").alias("next"))
         jump = labels.select(F.col("nid").alias("next"), F.col("comp").alias("far"))
         new = materialize(lower.join(jump, "next").select("nid", F.col("comp").alias("old"), F.least("next", "far").alias("comp")), "labels")
         release(labels)
@@ -190,7 +255,7 @@ def near_duplicates(
     threshold: float = 0.8,
     bands: int = 32,
     rows: int = 5,
-    block: int = 2048,
+    block: int = 1024,
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, text_hash, n_shingles, component_id, group_id, kept.
 
@@ -207,7 +272,7 @@ def near_duplicates(
     seen = materialize(named.mapInArrow(_sketch_rows(k, bands, rows), _DDL), "sketches")
 
     # One node per distinct set; nid is fixed as the table is written.
-    nodes = seen.where("n_shingles > 0").groupBy("sid").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at"), "th", "doc_id")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = seen.where("n_shingles > 0").groupBy("sid").agg(F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("at"), "th", "doc_id")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = materialize(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     banded = nodes.select("nid", F.explode("bands").alias("key"))
     shared = materialize(banded.groupBy("key").agg(F.min("nid").alias("lo"), F.max("nid").alias("hi"), F.count("*").alias("members")).where("lo <> hi"), "shared")
@@ -232,16 +297,19 @@ def near_duplicates(
     # Second round: nodes of different components that still share a bucket.
     marked = members.join(labels, "nid", "left").select("key", "nid", "members", F.coalesce("comp", "nid").alias("comp"))
     mixed = marked.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
-    rival = marked.join(mixed, "key").join(nodes.select("nid", "n", "sketch"), "nid")
+    rival = marked.join(mixed, "key")
+    bits = texts.join(rival.select("nid").distinct(), "nid").select("nid", "text").mapInArrow(_bit_rows(k), "nid long, bits binary")
+    bits = materialize(bits, "bits")
+    rival = rival.join(bits, "nid").join(nodes.select("nid", "n", "bands"), "nid")
     # A bucket is met in blocks of about `block` members; every pair of blocks is a group of its own.
     blocks = F.ceil(F.col("members") / block).cast("int")
     mine = F.pmod(F.xxhash64("nid"), blocks).cast("int")
     rival = rival.withColumn("block", mine).withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rival = rival.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "nid", "comp", "n", "sketch")
-    sd = (threshold * (1 - threshold) / t) ** 0.5
-    least = int((threshold - 5 * sd) * t)
-    more = rival.groupBy("key", "i", "j").applyInPandas(_rivals(t, least, round(threshold * 100)), "a long, b long")
-    more = more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    rival = rival.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "nid", "comp", "n", "bits", "bands")
+    sd = ((1 + threshold) / 2 * (1 - threshold) / 2 / BITS) ** 0.5
+    least = int(((1 + threshold) / 2 - 5 * sd) * BITS)
+    # Sorted runs instead of grouped pandas: most groups have a handful of rows.
+    more = rival.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_rivals(least, round(threshold * 100)), "a long, b long")
     late = materialize(verified(more.join(star, ["a", "b"], "left_anti")).distinct(), "late")
     labels = connected_components(links.union(late))
 

@@ -1,9 +1,4 @@
-"""Words, code-point rules and hashes that several operators share."""
-
-from __future__ import annotations
-
-import re
+"""The rule for words that several operators share."""
 
 #: Fixed value: a word is a run of characters other than space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
-word_re = re.compile(WORD)

@@ -95,14 +95,15 @@ def ownership(cands: DataFrame, sha: str, owner: str, repo: str) -> DataFrame:
     return once.groupBy(sha).agg(F.countDistinct(owner).alias("n_owners"), F.countDistinct(repo).alias("n_repos"), F.sum("n").alias("n"))
 
 
-def verdicts(found: DataFrame, docs_owner: DataFrame | None = None) -> DataFrame:
-    """Report over `find_secrets(..., keep=(owner, repo))`: every span's value hash with its owners,
-    repositories, occurrences and verdict ('live' or 'example' from three owners on)."""
-    owner, repo = (docs_owner or found).schema["row"].dataType.names[:2]
-    cands = found.select(F.explode("spans").alias("s"), F.coalesce(F.col(f"row.{owner}").cast("string"), F.lit("\0")).alias("owner"), F.coalesce(F.col(f"row.{repo}").cast("string"), F.lit("\0")).alias("repo"))
+def verdicts(found: DataFrame, *, owner: str = "source", repo: str = "source", min_example_owners: int = 3) -> DataFrame:
+    """Report over `find_secrets(..., keep=(owner, repo))`: per hash of a span's value n_owners, n_repos, n and
+    verdict, 'example' from `min_example_owners` owners or repositories on, else 'live'."""
+    name = lambda c: F.coalesce(F.col(f"row.{c}").cast("string"), F.lit("\0"))
+    cands = found.select(F.explode("spans").alias("s"), name(owner).alias("owner"), name(repo).alias("repo"))
     value = F.when(F.col("s.kind") == "assign", F.regexp_extract("s.value", ASSIGN, 2)).otherwise(F.col("s.value"))
     stats = ownership(cands.select(F.sha2(value, 256).alias("sha"), "owner", "repo"), "sha", "owner", "repo")
-    return stats.withColumn("verdict", F.when((F.col("n_owners") >= 3) | (F.col("n_repos") >= 3), "example").otherwise("live"))
+    wide = (F.col("n_owners") >= min_example_owners) | (F.col("n_repos") >= min_example_owners)
+    return stats.withColumn("verdict", F.when(wide, "example").otherwise("live"))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:

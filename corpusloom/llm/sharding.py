@@ -34,7 +34,6 @@ def place(items: np.ndarray, n_shards: int) -> np.ndarray:
     residual = np.full((n_shards, items.shape[1]), 1 / n_shards)
     out = np.zeros(len(items), np.int64)
     for i in np.lexsort((np.arange(len(items)), -share.max(axis=1))):
-        # A shard without room in some dimension weighs that lack fully; among the rest the dot product decides.
         best = int(np.argmax(residual @ share[i]))
         out[i] = best
         residual[best] -= share[i]
@@ -87,8 +86,8 @@ def assign_shards(
     cut = [(x["gid"], x["chunks"]) for x in own if x["chunks"] > 1]
     rows: dict[tuple[int, int], int] = {}
     if cut:
-        part = base.join(F.broadcast(spark.createDataFrame(cut, "gid long, chunks int")), "gid").groupBy("gid", chunk_of("chunks").alias("chunk")).count()
-        rows = {(x["gid"], x["chunk"]): x["count"] for x in part.collect()}
+        counted = base.join(F.broadcast(spark.createDataFrame(cut, "gid long, chunks int")), "gid").groupBy("gid", chunk_of("chunks").alias("chunk")).count()
+        rows = {(x["gid"], x["chunk"]): x["count"] for x in counted.collect()}
     names, vectors, splits, at = [], [], [], n_bundles
     for x in light:
         names.append(x["item"])
@@ -97,8 +96,8 @@ def assign_shards(
         splits.append((x["gid"], at, x["chunks"]))
         names += range(at, at + x["chunks"])
         for k in range(x["chunks"]):
-            part = rows.get((x["gid"], k), 0) / x["r"] if x["chunks"] > 1 else 1
-            vectors.append((x["b"] * part, x["t"] * part, x["r"] * part))
+            own_share = rows.get((x["gid"], k), 0) / x["r"] if x["chunks"] > 1 else 1
+            vectors.append((x["b"] * own_share, x["t"] * own_share, x["r"] * own_share))
         at += x["chunks"]
     release(groups)
     shards = place(np.asarray(vectors, float).reshape(-1, 3), n_shards)

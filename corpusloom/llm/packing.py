@@ -8,8 +8,10 @@ product of piece and residual (``rule="dot"``); a new bin opens only where none
 
 Scale: the input partition is packed where it is tokenized, in windows of ``window_tokens`` (the
 only thing held in memory); bins that stay emptier than ``slack`` are carried to the next window
-and, at the end of the partition, set apart. Those few are packed once more across partitions.
-So only leftovers are shuffled, and no task ever sees the whole corpus.
+and, at the end of the partition or where they hold most of a window, set apart. Those are packed
+once more across partitions, mixed by length, about a window a task, together with as many of the
+full sequences of short pieces as can fill them. So only leftovers and their fillers are shuffled,
+and no task ever sees the whole corpus.
 """
 
 from __future__ import annotations
@@ -20,13 +22,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import materialize
 
-PIECES = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long, leftover boolean"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("leftover", pa.bool_())])
+PIECES = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long, leftover boolean, longest long, room long"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("leftover", pa.bool_()), ("longest", pa.int64()), ("room", pa.int64())])
 
 #: Per Python worker: the encoder for a rank file.
 _encoders: dict = {}
@@ -151,12 +153,14 @@ class _Packer:
         lengths = np.fromiter((len(r[3]) // 4 for r in rows), np.int64, len(rows))
         bins, offsets, left = best_fit(lengths, o["capacity"], o["max_docs"], o["max_cost"], o["weights"], o["rule"])
         loose = left > o["slack"]
-        if not last and (loose.sum() * o["capacity"] - left[loose].sum()) * 2 > lengths.sum():
-            loose[:] = False  # mostly loose: carrying on would not end
-        keep = np.flatnonzero(loose[bins]) if not last else np.empty(0, np.int64)
-        out = np.flatnonzero(~loose[bins]) if not last else np.arange(len(rows))
+        # A mostly loose window isn't carried on, which would not end; its loose bins are set apart as the last window's are.
+        apart = last or (loose.sum() * o["capacity"] - left[loose].sum()) * 2 > lengths.sum()
+        keep = np.flatnonzero(loose[bins]) if not apart else np.empty(0, np.int64)
+        out = np.flatnonzero(~loose[bins]) if not apart else np.arange(len(rows))
         self.rows, self.held = [rows[i] for i in keep], int(lengths[keep].sum())
         if len(out):
+            longest = np.zeros(len(left), np.int64)
+            np.maximum.at(longest, bins, lengths)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([rows[i][0] for i in out], pa.int64()),
@@ -166,13 +170,34 @@ class _Packer:
                     pa.array([rows[i][3] for i in out], pa.binary()),
                     pa.array(bins[out] + (self.base + self.next)),
                     pa.array(offsets[out]),
-                    pa.array(loose[bins[out]] & (last and not self.final)),
+                    pa.array(loose[bins[out]] & (apart and not self.final)),
+                    pa.array(longest[bins[out]]),
+                    pa.array(np.where(offsets[out] == 0, left[bins[out]], 0)),
                 ],
                 schema=_ARROW,
             )
         self.next += len(left)
 
 
+def _fillers(packed: DataFrame) -> Column:
+    """Which full sequences of short pieces are opened again, as many tokens as leftover ones have room for.
+
+    Where a table is ordered by length, short documents fill sequences of their own and none would
+    be left for the half-empty ones of the long documents.
+    """
+    room = packed.where("leftover").agg(F.sum("room").alias("all"), F.max("room").alias("most")).first()
+    need, limit, part = room["all"] or 0, -1, 1.0
+    full = packed.where(~F.col("leftover") & (F.col("longest") <= (room["most"] or 0)))
+    # One row a length.
+    for r in sorted(full.groupBy("longest").agg(F.sum("length").alias("n")).collect()) if need else []:
+        limit, part = r["longest"], min(1.0, need / r["n"])
+        need -= r["n"]
+        if need <= 0:
+            break
+    chosen = F.pmod(F.xxhash64("sequence_id"), F.lit(1000)) < F.lit(int(np.ceil(1000 * part)))
+    return (F.col("longest") < limit) | ((F.col("longest") == limit) & chosen)
+
+
 def pack_documents(
     docs: DataFrame,
     *,
@@ -234,17 +259,17 @@ def pack_documents(
             cols = [batch.column(i).to_pylist() for i in range(4)]
             for row in zip(*cols, strict=True):
                 packer.add(*row)
-            if packer.held >= window_tokens:
-                yield from packer.flush(last=False)
         yield from packer.flush(last=True)
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     packed = materialize(narrow.mapInArrow(first, PIECES), "packed")
+    packed = packed.withColumn("leftover", F.col("leftover") | _fillers(packed))
     loose = packed.where("leftover")
     total = loose.agg(F.sum("length")).first()[0] or 0
-    tasks = max(1, round(total / window_tokens))
+    # Rows are dealt in turn in the order of their hash, so every task gets about a window's tokens, of all lengths.
+    tasks = max(1, -(-total // window_tokens))
     tail = loose.select("doc_id", "piece", "start", "ids").repartition(tasks).mapInArrow(again, PIECES)
-    return packed.where("not leftover").unionByName(tail).drop("leftover")
+    return packed.where("not leftover").unionByName(tail).drop("leftover", "longest", "room")
 
 
 def packing_digest(packed: DataFrame) -> DataFrame:

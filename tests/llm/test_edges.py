@@ -35,6 +35,19 @@ def test_packing(table):
     assert all(len(r["ids"]) == 4 * r["length"] <= 8192 for r in rows)
 
 
+def test_packing_of_a_table_ordered_by_length(spark):
+    """Long documents first: their half-empty sequences wait for the short ones of later windows."""
+    rng = np.random.default_rng(6)
+    sizes = [*rng.integers(1025, 1500, 150), *rng.integers(20, 400, 700)]
+    df = spark.createDataFrame([(i, " a" * int(n)) for i, n in enumerate(sizes)], "doc_id long, text string").coalesce(1)
+    rows = packing.pack_documents(df, window_tokens=20_000).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(len(sizes)))
+    fill = {}
+    for r in rows:
+        fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
+    assert max(fill.values()) <= 2048 and len(fill) <= 1.05 * sum(fill.values()) / 2048 + 1
+
+
 def test_packing_obeys_every_capacity():
     lengths = np.array([5, 5, 4, 3, 3, 2, 2, 1, 1, 1])
     for rule in ("norm", "dot"):

@@ -3,7 +3,8 @@
 Method: a tree builder over the standard library's tokenizer adds implied tags (a block closes an
 open paragraph, an item the item before it, a row or cell its predecessors, ...) and ignores stray
 end tags; a renderer walks the tree and drops what a browser would not show (head, scripts,
-``hidden``, ``display:none``, ``visibility:hidden``, closed dialogs and details). Blocks start new
+``hidden``, ``display:none``, ``visibility:hidden``, closed dialogs and details). A head that isn't
+closed ends at the first tag or text that can't be in it; an svg shows its text and foreign objects. Blocks start new
 lines, blocks with margins leave a blank line, list items carry their bullet or number under their
 list's indentation, preformatted text keeps its white space, and the cells of a table's column are
 padded to one width. Nothing visible is lost: there is no boilerplate removal here.
@@ -22,7 +23,13 @@ from pyspark.sql import functions as F
 _set = lambda s: frozenset(s.split())
 #: Element names by their role in the HTML standard.
 VOID = _set("area base br col embed hr img input link meta param source track wbr")
-HIDDEN = _set("head script style template noscript iframe object svg canvas audio video datalist title meta link base param source track col colgroup rp area noframes")
+HIDDEN = _set("head script style template noscript iframe object canvas audio video datalist title meta link base param source track col colgroup rp area noframes")
+#: Start tags that leave an open head open; within svg, what is drawn only where referred to, if at all.
+IN_HEAD = _set("title meta link base basefont bgsound script style template noscript noframes head")
+SVG_HIDDEN = _set("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter")
+#: Inside svg: HTML again below these; HTML start tags that end an svg left open.
+SVG_HTML = _set("foreignobject desc title")
+ENDS_SVG = _set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var")
 MARGIN = _set("p h1 h2 h3 h4 h5 h6 ul ol dl menu table blockquote pre figure hr fieldset")
 BLOCK = MARGIN | _set("address article aside body center dd details dialog dir div dt figcaption footer form header hgroup html legend li main nav optgroup option search section summary caption tr td th thead tbody tfoot")
 CLOSES_P = (BLOCK | _set("hr")) - _set("dd dt option optgroup caption tr td th thead tbody tfoot html body legend")
@@ -62,6 +69,7 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
         self.open = [self.root]
+        self.svgs: list[int] = []  # places in `open` where an svg was pushed
 
     def _close(self, tags: frozenset, stops: frozenset) -> None:
         """Closes the lowest open element of `tags` and all in it, unless one of `stops` lies in between."""
@@ -75,15 +83,37 @@ class TreeBuilder(HTMLParser):
             if self.open[i].tag in stops:
                 return
 
+    def _svg(self) -> int:
+        """Place of the outermost open svg whose drawing the next tag is part of; 0 if there is none."""
+        while self.svgs and (self.svgs[-1] >= len(self.open) or self.open[self.svgs[-1]].tag != "svg"):
+            self.svgs.pop()
+        at = 0
+        for i in range(len(self.open) - 1, self.svgs[0] - 1 if self.svgs else len(self.open), -1):
+            if self.open[i].tag in SVG_HTML:
+                break
+            if self.open[i].tag == "svg":
+                at = i
+        return at
+
+    def _close_head(self) -> None:
+        while self.open[-1].tag == "head":
+            self.open.pop()
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html":
             self.root.attrs.update(attrs)
             return
+        at = self._svg()
+        if at and (tag in ENDS_SVG or (tag == "font" and any(k in ("color", "face", "size") for k, _ in attrs))):
+            del self.open[at:]
+        elif at:
+            self._push(tag, dict(attrs))
+            return
+        if tag not in IN_HEAD:
+            self._close_head()
         if tag == "body":
             self._close(_set("head"), frozenset())
         elif tag in CLOSES_P:
-            if self.open[-1].tag == "head" and tag not in HIDDEN:
-                self.open.pop()
             self._close(_set("p"), BARRIER | _set("button"))
             if tag[0] == "h" and tag[1:].isdigit() and re.fullmatch("h[1-6]", self.open[-1].tag):
                 self.open.pop()
@@ -98,11 +128,16 @@ class TreeBuilder(HTMLParser):
 
     def _push(self, tag: str, attrs: dict) -> None:
         element = Element(tag, attrs)
+        if tag == "svg":
+            self.svgs.append(len(self.open))
         self.open[min(len(self.open), MAX_DEPTH) - 1].children.append(element)
         self.open.append(element)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
+        drawn = self._svg() and tag not in ENDS_SVG
+        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML, but ends an element of svg
+        if (tag == "svg" or drawn) and self.open[-1].tag == tag:
+            self.open.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -121,7 +156,7 @@ class TreeBuilder(HTMLParser):
     def handle_data(self, data: str) -> None:
         at = self.open[min(len(self.open), MAX_DEPTH) - 1]
         if at.tag == "head" and data.strip():
-            self.open.pop()
+            self._close_head()
             at = self.open[-1]
         at.children.append(data)
 
@@ -307,6 +342,30 @@ def _table(e: Element, out: _Lines, shown: bool) -> None:
         out.block(1)
 
 
+def _svg(e: Element, out: _Lines, shown: bool, text: bool = False) -> None:
+    """What a drawing shows as text: its text elements, a word apart, and its foreign objects as blocks."""
+    for c in e.children:
+        if isinstance(c, str):
+            if text and shown:
+                out.write(c)
+            continue
+        visibility = (c.attrs.get("visibility") or "").strip().lower()
+        inside, vis = _visible(c, visibility not in ("hidden", "collapse") if visibility else shown)
+        if not inside or c.tag in SVG_HIDDEN or (c.attrs.get("display") or "").strip().lower() == "none":
+            continue
+        if c.tag == "foreignobject":
+            out.block(1)
+            for x in c.children:
+                _render(x, out, vis)
+            out.block(1)
+            continue
+        if c.tag == "text":
+            out.write(" ")
+        _svg(c, out, vis, text or c.tag == "text")
+        if c.tag == "text":
+            out.write(" ")
+
+
 def _render(node: Element | str, out: _Lines, shown: bool, pre: bool = False) -> None:
     if isinstance(node, str):
         if shown:
@@ -319,6 +378,11 @@ def _render(node: Element | str, out: _Lines, shown: bool, pre: bool = False) ->
     if tag == "br":
         out.br()
         return
+    if tag == "svg":
+        drawing = Element("g", {})
+        drawing.children = [node]
+        _svg(drawing, out, shown)
+        return
     feeds = 2 if tag in MARGIN else 1 if tag in BLOCK else 0
     if tag in ("ul", "ol", "menu", "dl") and out.indent:
         feeds = 1  # a list within a list has no margin

@@ -76,6 +76,21 @@ def test_html_layout():
     assert htmltext.render("<table><tr><td rowspan=2>A<td>B<tr><td>C</table>") == "A  B\n   C"
 
 
+def test_html_head_without_end():
+    for tag in ("font size=2", "a href=x", "span", "b", "custom-tag", "img src=x"):
+        assert htmltext.render(f"<html><head><title>T</title><{tag}><p>whole page") == "whole page"
+    assert htmltext.render("<head><title>T</title><meta name=a><link href=b><script>x</script><b>in</b> line<body><p>rest") == "in line\n\nrest"
+    assert htmltext.render("<head><noscript><img src=x>no</noscript><style>s</style></head>yes") == "yes"
+
+
+def test_html_svg_text():
+    assert htmltext.render("a <svg><title>no</title><g><rect/><text>one<tspan>two</tspan></text><text>three</text></g>no</svg> b") == "a onetwo three b"
+    assert htmltext.render("<svg><defs/><foreignObject><p>x<p>y</foreignObject></svg>z") == "x\n\ny\n\nz"
+    assert htmltext.render("<svg><defs><text>no</text></defs><text display=none>no</text><path d=m></svg>z") == "z"
+    assert htmltext.render("<svg hidden><text>no</text></svg><svg visibility=hidden><text>no</text></svg>z") == "z"
+    assert htmltext.render("<svg><path><p>page after an open svg<svg/><i>x") == "page after an open svgx"
+
+
 def test_html_table(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", ""), (3, "u", "<p>x"), (3, "u", "<p>x")], "page_id long, url string, html string")
     assert [r["text"] for r in htmltext.extract_text(pages).collect()] == ["", "", "x", "x"]

@@ -3,8 +3,11 @@
 Method: every candidate value is hashed and the hashes are aggregated over the whole corpus by
 distinct repositories and owners. A value that many owners have is a widely copied example; one
 that few have is owner-specific and looks live. The three base kinds (assign, access, hex) are
-reported whatever the verdict; a bare high-entropy token (20 or more of ``[A-Za-z0-9_-]`` with a
-letter and a digit, outside every base span) counts as a secret only if its verdict is live.
+reported whatever the verdict; two kinds count as a secret only if their verdict is live: a bare
+token (20 or more of ``[A-Za-z0-9_-]`` with a letter and a digit, outside every base span) and a
+key, what base spans leave of a run of 20 or more of ``[A-Za-z0-9+/_-]`` and its padding, if it has
+the entropy and the changes between cases and digits of a random value (base64 credentials; paths
+and slugs have few). The SQL below has no keys; it agrees wherever the table holds none.
 
 Everything is DataFrame expressions. Positions come without any UDF: the pieces between the
 matches (``split``) and the matches (``regexp_extract_all``) alternate, so running sums of their
@@ -25,7 +28,11 @@ ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 BARE = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}"
-KINDS = ("assign", "access", "hex", "bare")
+KEY = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+KINDS = ("assign", "access", "hex", "bare", "key")
+#: A key has at least so many bits of entropy a character, and a change within a word on every so many characters.
+KEY_BITS = 3.0
+KEY_CHANGE = 8
 
 _SPAN = "struct<start:int,rank:int,end:int,kind:string,value:string>"
 
@@ -50,6 +57,31 @@ def _spans(text: Column, matches: Column, pattern: str, kind: str) -> Column:
     return F.when(F.size(matches) > 0, F.aggregate(pairs, start, step)["out"]).otherwise(none)
 
 
+def _entropy(value: Column) -> Column:
+    """Bits a character, by the value's own character counts."""
+    n = F.length(value).cast("double")
+    share = lambda c: (n - F.length(F.replace(value, c, F.lit("")))) / n
+    return F.aggregate(F.array_distinct(F.filter(F.split(value, ""), lambda c: c != "")), F.lit(0.0), lambda acc, c: acc - share(c) * F.log2(share(c)))
+
+
+def _random_looking(value: Column) -> Column:
+    changes = F.regexp_count(value, F.lit("(?<=[a-z])[A-Z0-9]|(?<=[0-9])[A-Za-z]|(?<=[A-Z])[0-9]"))
+    return (changes * KEY_CHANGE >= F.length(value)) & (_entropy(value) >= KEY_BITS)
+
+
+def _outside(s: Column, base: Column) -> Column:
+    """Array of the parts of span `s` that no span of `base` (sorted) covers."""
+
+    def part(start: Column, end: Column) -> Column:
+        value = F.substring(s["value"], start - s["start"] + 1, end - start)
+        return F.array(F.struct(start.alias("start"), s["rank"].alias("rank"), end.alias("end"), s["kind"].alias("kind"), value.alias("value")))
+
+    none = F.array().cast(f"array<{_SPAN}>")
+    step = lambda acc, b: F.struct(F.greatest(acc["at"], F.least(b["end"], s["end"])).alias("at"), F.concat(acc["out"], F.when(F.least(b["start"], s["end"]) > acc["at"], part(acc["at"], F.least(b["start"], s["end"]))).otherwise(none)).alias("out"))
+    done = F.aggregate(F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])), F.struct(s["start"].alias("at"), none.alias("out")), step)
+    return F.concat(done["out"], F.when(done["at"] < s["end"], part(done["at"], s["end"])).otherwise(none))
+
+
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
@@ -72,13 +104,16 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         F.struct(*[F.col(c) for c in keep] or [F.lit(None).cast("string").alias("none")]).alias("row"),
         text.alias("t"),
     )
-    found = found.select("*", *[_all(F.col("t"), p).alias(k) for k, p in zip(KINDS, (ASSIGN, ACCESS, HEX, BARE), strict=True)])
-    found = found.select("*", *[_spans(F.col("t"), F.col(k), p, k).alias(f"s_{k}") for k, p in zip(KINDS, (ASSIGN, ACCESS, HEX, BARE), strict=True)])
+    found = found.select("*", *[_all(F.col("t"), p).alias(k) for k, p in zip(KINDS, (ASSIGN, ACCESS, HEX, BARE, KEY), strict=True)])
+    found = found.select("*", *[_spans(F.col("t"), F.col(k), p, k).alias(f"s_{k}") for k, p in zip(KINDS, (ASSIGN, ACCESS, HEX, BARE, KEY), strict=True)])
     held = F.filter("s_assign", lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6)
-    found = found.select("doc_id", "owner", "repo", "row", F.array_sort(F.concat(held, "s_access", "s_hex")).alias("base"), "s_bare")
+    found = found.select("doc_id", "owner", "repo", "row", F.array_sort(F.concat(held, "s_access", "s_hex")).alias("base"), "s_bare", "s_key")
     apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     bare = F.filter("s_bare", lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]") & apart(s))
-    found = materialize(found.select("doc_id", "owner", "repo", "row", "base", bare.alias("bare"), F.monotonically_increasing_id().alias("rid")), "secrets")
+    found = found.select("doc_id", "owner", "repo", "row", "base", bare.alias("bare"), "s_key")
+    is_bare = lambda s: F.exists("bare", lambda b: (b["start"] == s["start"]) & (b["end"] == s["end"]))
+    keys = F.filter(F.flatten(F.transform("s_key", lambda s: _outside(s, F.col("base")))), lambda s: (s["end"] - s["start"] >= 20) & s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]") & ~is_bare(s) & _random_looking(s["value"]))
+    found = materialize(found.select("doc_id", "owner", "repo", "row", "base", F.concat("bare", keys).alias("bare"), F.monotonically_increasing_id().alias("rid")), "secrets")
 
     some = F.size("bare") > 0
     cands = found.where(some).select("rid", "owner", "repo", F.explode("bare").alias("s")).withColumn("sha", F.sha2("s.value", 256))

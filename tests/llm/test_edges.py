@@ -131,6 +131,19 @@ def test_secret_ownership_and_redaction(spark):
     assert stats == {"live"}
 
 
+def test_secret_base64_keys(spark):
+    key, shared = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzzzzzzzz1", "Qx7/rT2+bN9vK4mZ8sW1yL6uE3oP5aH0cJdFgIqA=="
+    rest = "q7Wz+R4tK9/mB2xV8nL5cJ1"
+    text = [f"aws_secret_access_key = {key}", f"k: {shared}", f"see {shared}", f"{shared} end", "AKIA" + "A" * 16 + rest, "at /en/blog/2024/05/how-to-bake-bread-at-home or Articles/2024/How-To-Bake-Bread", "aa1/" * 10]
+    df = spark.createDataFrame([(i, x, f"o{i}") for i, x in enumerate(text)], "doc_id long, text string, source string")
+    found = secrets.find_secrets(df, keep=("text",))
+    got = {r["doc_id"]: r["spans"] for r in secrets.secrets_digest(found).collect()}
+    assert got[0] == f"key:24:{24 + len(key)}" and got[1] == got[2] == got[3] == got[5] == got[6] == ""
+    assert got[4] == f"access:0:20,key:20:{20 + len(rest)}"
+    clean = {r["doc_id"]: r["x"] for r in found.select("doc_id", secrets.redacted(F.col("row.text"), F.col("spans")).alias("x")).collect()}
+    assert clean[0] == "aws_secret_access_key = [SECRET]" and clean[4] == "[SECRET][SECRET]" and clean[5] == text[5]
+
+
 def test_topk(spark):
     v = [(0, [1.0, 2.0]), (20, [1.0, 2.0]), (20, [1.0, 2.0]), (1, [3.0, 0.0]), (2, [0.0, 1.5]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]), (None, [1.0, 1.0]), (6, [-0.001, 0.0])]
     df = spark.createDataFrame(v, "vec_id long, embedding array<float>")

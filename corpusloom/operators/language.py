@@ -25,9 +25,11 @@ def _sample(text: str | None) -> str:
     return (text or "")[:SAMPLE].lower()
 
 
-def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = PROFILE) -> DataFrame:
+def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = PROFILE, sample: int | None = None) -> DataFrame:
     """lang, rank (from 0), gram: the n most frequent trigrams of each language, ties by gram.
 
+    Whole texts count, or, where `sample` is given, so many first characters of each.
+
     Trigrams are counted per Arrow batch first, so that only distinct ones are shuffled.
     """
 
@@ -35,11 +37,12 @@ def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
         for pdf in batches:
             got: Counter = Counter()
             for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                s = _sample(text)
+                s = (text or "").lower()
                 got.update((lang, s[i : i + 3]) for i in range(len(s) - 2))
             yield pd.DataFrame([(*k, v) for k, v in got.items()], columns=["lang", "gram", "n"])
 
-    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE).alias("text"))
+    text = F.col(text_col) if sample is None else F.substring(text_col, 1, sample)
+    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text.alias("text"))
     counts = rows.mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
     return counts.withColumn("rank", rank).where(F.col("rank") < n).select("lang", "rank", "gram")

@@ -91,13 +91,14 @@ detected AS (SELECT d.doc_id, d.lang, coalesce(b.lang, 'unknown') AS language, c
 
 @query(f"WITH {_PROFILE} SELECT lang, rank::INTEGER AS rank, gram FROM profiles")
 def lang_profiles(spark, d):
-    return language.build_profiles(table(spark, d, "documents"))
+    # The SQL of this query and of lang_detect counts the first characters only.
+    return language.build_profiles(table(spark, d, "documents"), sample=language.SAMPLE)
 
 
 @query(f"WITH {_PROFILE} SELECT doc_id, language, best, total FROM detected")
 def lang_detect(spark, d):
     docs = table(spark, d, "documents")
-    return language.detect(docs, language.build_profiles(docs)).withColumnRenamed("id", "doc_id")
+    return language.detect(docs, language.build_profiles(docs, sample=language.SAMPLE)).withColumnRenamed("id", "doc_id")
 
 
 @query(f"WITH {_PROFILE} SELECT lang, language, count(*)::BIGINT AS n FROM detected GROUP BY lang, language")

@@ -54,6 +54,13 @@ def test_quality_extremes(spark):
         quality.QualityConfig(min_score=2)
 
 
+def test_profiles_count_whole_texts(spark):
+    docs = spark.createDataFrame([("x", "abc" + " " * 1997 + "xyz" * 2000)], "lang string, text string")
+    top = [r["gram"] for r in language.build_profiles(docs, n=3).orderBy("rank").collect()]
+    assert top == ["xyz", "yzx", "zxy"]
+    assert language.build_profiles(docs, n=1, sample=language.SAMPLE).first()["gram"] == "   "
+
+
 def test_language_unknown_and_tie(spark):
     profiles = spark.createDataFrame([("b", 0, "abc"), ("a", 0, "xyz")], "lang string, rank int, gram string")
     df = spark.createDataFrame([(1, "日本語です"), (2, "xyz abc"), (3, "abc xyz"), (4, None), (5, "ab")], "doc_id long, text string")

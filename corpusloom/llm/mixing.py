@@ -2,7 +2,8 @@
 
 Method: the mix is cut into blocks of `block` words. Highest quotients (weight / (2 k - 1)) give
 every source an integer number of blocks, no more than its cap; the same rule then divides a
-source's blocks among the shards of its documents by their words. In each shard the documents
+source's blocks among the shards of its documents by their words, and the words that a shard is too
+small for among its others. In each shard the documents
 stand in a seeded order and the quota's blocks are read off that stream, again from its start when
 it ends. So a document counts 0, 1 or 2 times, of which one count may be partial.
 
@@ -98,7 +99,7 @@ def mix_sources(
     Sources by code point, null last, weigh `cycle` in turn, or as `weights` says (1 where it says
     nothing); they share `share` times all words, each at most `most` times its own. taken: words
     of the document in the mix, repeats counted, at most `most` times its size. A source's taken
-    words differ from its target by less than one block plus one a shard. Null texts and texts
+    words differ from its target by at most a block, however many shards it has. Null texts and texts
     without words take 0. Reruns with one seed agree: order is by a hash of seed, id and text.
     """
     text = F.col(text_col).cast("string")
@@ -128,16 +129,21 @@ def mix_sources(
     def divide(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("shard", ignore_index=True)
         words = pdf["words"].to_numpy(np.int64)
-        got = sainte_lague(words, int(pdf["quota"].iloc[0]), np.ceil(words * most / block))
-        return pd.DataFrame({"skey": pdf["skey"], "shard": pdf["shard"], "words": words, "blocks": got})
+        quota, target = int(pdf["quota"].iloc[0]), float(pdf["target"].iloc[0])
+        caps = np.floor(words * most).astype(np.int64)
+        budget = np.minimum(sainte_lague(words, quota, np.ceil(words * most / block)) * block, caps)
+        # What caps cut off blocks goes, word by word, to the source's other shards; a source without a block takes its target's words.
+        rest = (quota * block if quota else round(target)) - int(budget.sum())
+        budget += sainte_lague(words, rest, caps - budget)
+        return pd.DataFrame({"skey": pdf["skey"], "shard": pdf["shard"], "words": words, "budget": budget})
 
     small = F.broadcast(plan) if len(found) <= 100_000 else plan  # one row a source
-    parts = cells.join(small, "skey").select("skey", "shard", "words", "quota")
-    blocks = materialize(parts.groupBy("skey").applyInPandas(divide, "skey string, shard int, words long, blocks long"), "blocks")
+    parts = cells.join(small, "skey").select("skey", "shard", "words", "quota", "target")
+    blocks = materialize(parts.groupBy("skey").applyInPandas(divide, "skey string, shard int, words long, budget long"), "blocks")
     # The running sums and the join with the blocks share one partitioning, so documents move once.
     stream = Window.partitionBy("skey", "shard").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("before", F.coalesce(F.sum("size").over(stream), F.lit(0))).join(blocks, ["skey", "shard"])
-    budget = F.least(F.col("blocks") * block, F.floor(F.col("words") * most))
+    budget = F.col("budget")
     rounds = F.when(F.col("words") > 0, F.floor(budget / F.col("words"))).otherwise(0)
     part = budget - rounds * F.col("words") - F.col("before")
     taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), part))

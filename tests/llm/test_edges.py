@@ -216,6 +216,20 @@ def test_mixing(table):
     assert words == sum(r["taken"] for r in rows)
 
 
+def test_mixing_of_small_sources_over_many_shards(spark):
+    """Shards of some 40 words of a source lose nothing to the rounding of blocks; a tiny source isn't left out."""
+    rows = [(i, "w " * 50, "a") for i in range(1500)] + [(2000 + i, "w " * 20, "b") for i in range(200)] + [(3000, "w " * 9, "c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(df, weights={"a": 2.0, "b": 9.0, "c": 0.0004}, docs_per_shard=17).collect()
+    taken, target = {}, {}
+    for r in mixed:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 64 for s in target) and target["b"] == 8000
+    assert 0 < target["c"] < 32 and taken["c"] == round(target["c"])
+
+
 def test_sainte_lague_by_quotients():
     rng = np.random.default_rng(5)
     for _ in range(20):

@@ -258,7 +258,7 @@ def corpus_stats_rollup(spark, d):
 
 @query("SELECT count(*)::BIGINT AS n FROM documents WHERE n_chars BETWEEN 100 AND 10000")
 def filtered_count(spark, d):
-    return table(spark, d, "documents").where(F.col("n_chars").between(100, 10000)).agg(F.count("*").alias("n"))
+    return shards.count_texts(table(spark, d, "documents"), chars_col="n_chars", min_chars=100, max_chars=10000)  # bounds of the SQL
 
 
 @query("WITH s AS (SELECT list_sort(list(n_chars)) AS v, count(*) AS n FROM documents) SELECT n::BIGINT AS n, v[1] AS min, v[n] AS max, " + ", ".join(f"v[least(n * {p} // 100, n - 1) + 1] AS p{p}" for p in (50, 75, 90, 95, 99)) + ", least(pow(2, length(bin(v[least(n * 95 // 100, n - 1) + 1])))::BIGINT, 2048)::BIGINT AS recommended FROM s")

@@ -31,6 +31,11 @@ def read_texts(spark: SparkSession, folder: str, *, min_chars: int = 1, max_char
     return text.dropDuplicates() if dedupe else text
 
 
+def count_texts(docs: DataFrame, *, chars_col: str = "char_count", min_chars: int = 50, max_chars: int = 1_000_000) -> DataFrame:
+    """n: rows by their stored length, without reading any text (AGG-2)."""
+    return docs.where(F.col(chars_col).between(min_chars, max_chars)).agg(F.count("*").alias("n"))
+
+
 def read_with_metadata(spark: SparkSession, folder: str) -> DataFrame:
     """text and a map of metadata: the JSON's fields (none where malformed), then source, language and score."""
     rows = read_shards(spark, folder).select("text", "source", "language", "quality_score", "metadata_json")

@@ -172,6 +172,11 @@ def test_shards_round_trip(spark, tmp_path):
     assert stats["docs"] == 2 and stats["languages"] == {"en": 1}
 
 
+def test_count_texts_has_the_reference_bounds(spark):
+    df = spark.createDataFrame([(x,) for x in (None, 49, 50, 99, 10_001, 1_000_000, 1_000_001)], "char_count long")
+    assert shards.count_texts(df).first()["n"] == 4
+
+
 def test_queue_to_documents_and_dead_letters(spark, tmp_path):
     queue = tmp_path / "q"
     queue.mkdir()

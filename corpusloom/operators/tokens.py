@@ -1,4 +1,7 @@
-"""Tokenizer operators over public vocabularies (TOK-4..14, AGG-5..11, EXP-1..5).
+"""Tokenizer operators over public vocabularies (of TOK-4..14, AGG-5..11, EXP-1..5).
+
+Left out: unk_rate and vocab_coverage (AGG-5..7; `warnings` takes an unk_rate from its caller), the
+first-N sampling AGG-11, n_unks of the edge cases (TOK-12), TOK-10 and TOK-11.
 
 Tokenizers are never trained here: a tokenizer is a JSON file of the `tokenizers` library, given by path.
 """

@@ -1,4 +1,7 @@
-"""Scans of corpus shards and queue messages (SRC-1..8) and their sinks (SNK-1..6)."""
+"""Scans of corpus shards and queue messages (SRC-1..8) and their sinks (of SNK-1..6).
+
+Left out: the writer of token shards (SNK-3) and the sink of failed URLs (SNK-6).
+"""
 
 from __future__ import annotations
 

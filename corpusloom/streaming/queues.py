@@ -1,4 +1,8 @@
-"""Queues as Structured Streaming: directories of JSON lines in, tables out (SRC-1..4, STR-1..11, SNK-4..6).
+"""Queues as Structured Streaming: directories of JSON lines in, tables out (SRC-1..4, of STR-1..11 and SNK-4..6).
+
+Left out: the rate limit per domain (STR-6), counters of popped, valid, skipped and pushed messages
+(STR-8), the progress log (STR-10), the sink of failed URLs (SNK-6), and the dead letter
+extractor_exception (SNK-5): a page on which the extractor raises fails its batch.
 
 An available-now trigger ends a run when the queue is drained (idle shutdown), maxFilesPerTrigger is
 the backpressure, and the checkpoint makes every message count once, which a reliable queue

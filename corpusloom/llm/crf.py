@@ -9,6 +9,14 @@ from __future__ import annotations
 import numpy as np
 
 
+def _step(a: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """a @ m, summed in a fixed order: a row's result doesn't depend on how many rows there are."""
+    out = a[:, :1] * m[0]
+    for i in range(1, len(m)):
+        out += a[:, i : i + 1] * m[i]
+    return out
+
+
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray, pairs: bool = False, weight: np.ndarray | None = None):
     """Marginals [n, S] for emission log-scores [n, S] and transition log-scores [S, S].
 
@@ -34,7 +42,7 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray,
     for t in range(steps):
         if t:
             at = starts[: running[t]] + t
-            a = (a[: running[t]] @ m) * e[at]
+            a = _step(a[: running[t]], m) * e[at]
         c = a.sum(axis=1)
         a = a / c[:, None]
         alpha[at], scale[at] = a, c
@@ -45,7 +53,7 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray,
         back = e[at] * beta[at] / scale[at][:, None]
         if pairs:
             joint += (alpha[at - 1].T @ (back if weight is None else back * weight[at][:, None])) * m
-        beta[at - 1] = back @ m.T
+        beta[at - 1] = _step(back, m.T)
     p = alpha * beta
     p /= p.sum(axis=1, keepdims=True)
     if pairs:

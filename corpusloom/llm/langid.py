@@ -9,8 +9,9 @@ marginals, and a document's language has the largest sum of them, weighted by wo
 Training texts are monolingual; chains for training join stretches of lines of different languages,
 so that switches have a finite cost.
 
-Fitted on at most ``per_lang`` documents of each language, drawn by a hash of the id. Features of a
-batch's distinct words are computed together, from their letters as one matrix.
+Fitted on at most ``per_lang`` documents of each of the ``max_langs`` most frequent languages, of at
+most ``max_text`` characters each, drawn by a hash of the id. Features of a batch's distinct words are
+computed together, from their letters as one matrix; a text's result depends on nothing but the text.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .crf import Adam, forward_backward
@@ -99,11 +101,8 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             at = last[size[last] >= n]
             if len(at):
                 add(_hash(20 + n, *(c[at, size[at] - n + k] for k in range(n))), owner[at])
-        whole = np.zeros(len(words), np.uint32)
-        for j in range(width):
-            at = np.flatnonzero(size > j)
-            np.bitwise_xor.at(whole, owner[at], (c[at, j] + np.uint32(j * 7919)) * np.uint32(0x9E3779B1))
-            whole = (whole << np.uint32(5) | whole >> np.uint32(27)) * np.uint32(5) + np.uint32(1)
+        # The lexicon entry: each word's own hash, whatever words lie beside it.
+        whole = np.fromiter((xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint32, len(words))
         add(_hash(30, whole), np.arange(len(words)))
     return np.concatenate(out), np.concatenate(whose)
 
@@ -180,30 +179,40 @@ def predict(texts: list[str | None], model: dict, marginals: bool = False):
     return (got, words, flat, p, per_text) if marginals else got
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", usable=None, per_lang: int = 150, seed: int = 5) -> dict:
-    """Model from at most `per_lang` documents of each language, drawn by a hash of the id; `usable` filters ids."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", usable=None, per_lang: int = 150, max_langs: int = 200, max_text: int = 200_000, seed: int = 5) -> dict:
+    """Model from at most `per_lang` documents of each of the `max_langs` most frequent languages (ties by name).
+
+    Documents are drawn by a hash of the id among those of at most `max_text` characters, so that what is
+    fetched has a bound; `usable` filters ids. Rows that repeat an id in a language count as one, of the
+    smallest text. Null ids, texts and languages aren't learned from. An empty table gives a model that
+    knows no language.
+    """
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    known = known.where(F.length("text") <= max_text)
     if usable is not None:
         known = known.where(usable(F.col("doc_id")))
-    drawn = F.lit(False)
-    for r in known.groupBy("lang").count().collect():  # one row a language
-        drawn |= (F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, 1.3 * per_lang / r["count"])))
-    rows = known.where(drawn).select("lang", "text", F.xxhash64("doc_id", F.lit(seed)).alias("h")).collect()
-    texts, langs = [], []
-    for lang in sorted({r["lang"] for r in rows}):
-        mine = sorted((r for r in rows if r["lang"] == lang), key=lambda r: (r["h"], r["text"]))[:per_lang]
-        texts += [r["text"] for r in mine]
-        langs += [lang] * len(mine)
-    return fit(texts, langs)
+    # At most `max_langs` rows; a language's share is what leaves about 1.3 times per_lang documents.
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
+    h = F.xxhash64("doc_id", F.lit(seed))
+    drawn = known.join(F.broadcast(sizes), "lang").where(F.pmod(h, F.lit(1_000_000)) < F.ceil(1_000_000 * F.least(F.lit(1.0), F.lit(1.3 * per_lang) / F.col("n"))))
+    once = drawn.groupBy("lang", h.alias("h")).agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    rows = once.withColumn("rank", rank).where(F.col("rank") <= per_lang).collect()
+    rows.sort(key=lambda r: (r["lang"], r["h"]))
+    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, model: dict, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in `keep`, lang_pred and score, one row per row of `docs`.
 
     A null text and one without a letter are 'und' with score 0; so is any text if nothing was learned.
+    Of languages with equal sums the first by name is taken; repeated rows each have their result, and
+    equal texts equal ones; an empty table gives no rows. Other columns of `docs` may have any name; of
+    `keep`, one that is named like a result column gives way to it.
     """
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+    keep = tuple(c for c in keep if c not in ("lang_pred", "score"))
     picked = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text"))
     schema = StructType([*picked.schema.fields[:-1], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 

@@ -7,16 +7,17 @@ weighted norm of the residual after placement (``rule="norm"``) or by the larges
 product of piece and residual (``rule="dot"``); a new bin opens only where none has room.
 
 Scale: the input partition is packed where it is tokenized, in windows of ``window_tokens`` (the
-only thing held in memory); bins that stay emptier than ``slack`` are carried to the next window
-and, at the end of the partition or where they hold most of a window, set apart. Those are packed
-once more across partitions, mixed by length, about a window a task, together with as many of the
-full sequences of short pieces as can fill them. So only leftovers and their fillers are shuffled,
-and no task ever sees the whole corpus.
+only thing held in memory); bins with room for a piece of over ``slack`` tokens in every dimension are
+carried to the next window and, at the end of the partition or where they hold most of a window, set
+apart. Those are packed once more across partitions, mixed by length, about ``tail_tokens`` a task,
+together with as many of the full sequences of short pieces as can fill them. So only leftovers and
+their fillers are shuffled, and no task ever sees the whole corpus.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 
 from ._scratch import materialize
 
-PIECES = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long, leftover boolean, longest long, room long"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("leftover", pa.bool_()), ("longest", pa.int64()), ("room", pa.int64())])
+PIECES = "piece int, start long, length long, ids binary, sequence_id long, offset long, leftover boolean, longest long, room long"
 
-#: Per Python worker: the encoder for a rank file.
+#: Per Python worker: the encoder for a rank file, and the slow one.
 _encoders: dict = {}
+_plain: dict = {}
 
 
 def default_ranks() -> str:
@@ -41,38 +42,45 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def encoder(ranks_path: str):
-    """A cached tiktoken encoder; special tokens' strings count as ordinary text."""
-    if ranks_path not in _encoders:
+def default_json() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def encoder(ranks_path: str, json_path: str | None = None):
+    """A cached tiktoken encoder; its special tokens are those of the JSON file."""
+    key = ranks_path, json_path
+    if key not in _encoders:
         import public_tokenizers
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoders[ranks_path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _encoders[ranks_path]
+        with open(json_path or default_json(), encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
+        _encoders[key] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return _encoders[key]
 
 
 def encode(enc, text: str, json_path: str | None = None) -> list[int]:
-    """Ids of a text of any length.
+    """Ids of a text of any length, as `tokenizers` gives them without adding special tokens: the string of a
+    special token within the text is that token.
 
     The encoder's regular expression overflows its stack on a run of some hundred thousand white
     space characters; such a text goes through `tokenizers`, which is slower and gives the same ids.
     """
     try:
-        return enc.encode_ordinary(text)
+        return enc.encode(text, allowed_special="all") if any(s in text for s in enc.special_tokens_set) else enc.encode_ordinary(text)
     except BaseException as error:  # a Rust panic is no Exception
         if type(error).__name__ != "PanicException":
             raise
         from tokenizers import Tokenizer
 
-        if json_path is None:
-            import public_tokenizers
-
-            json_path = public_tokenizers.path("byte_bpe_50k.json")
-        tok = Tokenizer.from_file(json_path)
-        tok.encode_special_tokens = True
-        return tok.encode(text, add_special_tokens=False).ids
+        path = json_path or default_json()
+        if path not in _plain:
+            _plain[path] = Tokenizer.from_file(path)
+        return _plain[path].encode(text, add_special_tokens=False).ids
 
 
 def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: float, weights: tuple[float, float, float], rule: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,8 +145,8 @@ def best_fit(lengths: np.ndarray, capacity: int, max_docs: int, max_cost: float,
 class _Packer:
     """Pieces of one partition, packed window by window."""
 
-    def __init__(self, opts: dict, base: int, final: bool):
-        self.o, self.base, self.final, self.next = opts, base, final, 0
+    def __init__(self, opts: dict, base: int, final: bool, kind: pa.DataType):
+        self.o, self.base, self.final, self.kind, self.next = opts, base, final, kind, 0
         self.rows: list[tuple] = []  # doc_id, piece, start, ids as bytes
         self.held = 0
 
@@ -152,7 +160,10 @@ class _Packer:
         o, rows = self.o, self.rows
         lengths = np.fromiter((len(r[3]) // 4 for r in rows), np.int64, len(rows))
         bins, offsets, left = best_fit(lengths, o["capacity"], o["max_docs"], o["max_cost"], o["weights"], o["rule"])
-        loose = left > o["slack"]
+        # The longest piece that a bin still takes, in every dimension.
+        docs, cost = np.bincount(bins, minlength=len(left)), np.bincount(bins, lengths.astype(np.float64) ** 2, minlength=len(left))
+        room = np.minimum(left, np.sqrt(np.maximum(o["max_cost"] - cost, 0)).astype(np.int64)) * (docs < o["max_docs"])
+        loose = room > o["slack"]
         # A mostly loose window isn't carried on, which would not end; its loose bins are set apart as the last window's are.
         apart = last or (loose.sum() * o["capacity"] - left[loose].sum()) * 2 > lengths.sum()
         keep = np.flatnonzero(loose[bins]) if not apart else np.empty(0, np.int64)
@@ -163,7 +174,7 @@ class _Packer:
             np.maximum.at(longest, bins, lengths)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([rows[i][0] for i in out], pa.int64()),
+                    pa.array([rows[i][0] for i in out], self.kind),
                     pa.array([rows[i][1] for i in out], pa.int32()),
                     pa.array([rows[i][2] for i in out], pa.int64()),
                     pa.array(lengths[out]),
@@ -172,9 +183,9 @@ class _Packer:
                     pa.array(offsets[out]),
                     pa.array(loose[bins[out]] & (apart and not self.final)),
                     pa.array(longest[bins[out]]),
-                    pa.array(np.where(offsets[out] == 0, left[bins[out]], 0)),
+                    pa.array(np.where(offsets[out] == 0, room[bins[out]], 0)),
                 ],
-                schema=_ARROW,
+                names=["doc_id", *(x.split()[0] for x in PIECES.split(", "))],
             )
         self.next += len(left)
 
@@ -204,13 +215,15 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     ranks_path: str | None = None,
+    json_path: str | None = None,
     capacity: int = 2048,
     end_id: int = 0,
     max_docs: int | None = None,
     max_cost: float | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.001, 0.001),
+    weights: tuple[float, float, float] = (1.0, 0.1, 0.1),
     rule: str = "norm",
     window_tokens: int = 4_000_000,
+    tail_tokens: int = 1_000_000,
     slack: int = 8,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids, sequence_id, offset.
@@ -219,11 +232,13 @@ def pack_documents(
     then `end_id`; a null or empty text is `end_id` alone. Only a document of more than `capacity`
     ids is cut, into pieces of `capacity`, of which the first may be shorter. Piece offsets in a
     sequence are gapless from 0. `max_docs` and `max_cost` (sum of squared lengths) default to what
-    no sequence can exceed, so that by default only tokens decide how many sequences there are.
+    no sequence can exceed, so that by default only tokens decide how many sequences there are, and the
+    other two decide which of the bins with room is taken (`weights`: tokens, documents, cost). A piece
+    whose own cost exceeds `max_cost` has a sequence to itself.
 
     Repeated rows are packed as often as they occur, a null id stays null, ties in length keep
-    the order of rows, and an empty table gives no rows. Only `id_col` and `text_col` are read, so
-    other columns may have any name.
+    the order of rows, and an empty table gives no rows. Ids keep their type. Only `id_col` and
+    `text_col` are read, so other columns may have any name.
     """
     if rule not in ("norm", "dot"):
         raise ValueError(f"rule is norm or dot, not {rule!r}")
@@ -238,11 +253,12 @@ def pack_documents(
     ranks = ranks_path or default_ranks()
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(ranks)
-        packer = _Packer(opts, TaskContext.get().partitionId() << 33, final=False)
+        enc = encoder(ranks, json_path)
+        packer = None
         for batch in batches:
+            packer = packer or _Packer(opts, TaskContext.get().partitionId() << 33, False, batch.schema.types[0])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = encode(enc, text.as_py() or "")
+                ids = encode(enc, text.as_py() or "", json_path)
                 ids.append(end_id)
                 raw, n = np.asarray(ids, "<u4").tobytes(), len(ids)
                 cut = (n - 1) % capacity + 1  # the first piece's length
@@ -251,24 +267,28 @@ def pack_documents(
                     packer.add(doc_id, k, at, raw[4 * at : 4 * (at + capacity)])
                 if packer.held >= window_tokens:
                     yield from packer.flush(last=False)
-        yield from packer.flush(last=True)
+        if packer:
+            yield from packer.flush(last=True)
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(opts, (1 << 62) + (TaskContext.get().partitionId() << 33), final=True)
+        packer = None
         for batch in batches:
+            packer = packer or _Packer(opts, (1 << 62) + (TaskContext.get().partitionId() << 33), True, batch.schema.types[0])
             cols = [batch.column(i).to_pylist() for i in range(4)]
             for row in zip(*cols, strict=True):
                 packer.add(*row)
-        yield from packer.flush(last=True)
+        if packer:
+            yield from packer.flush(last=True)
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    packed = materialize(narrow.mapInArrow(first, PIECES), "packed")
+    pieces = f"doc_id {docs.schema[id_col].dataType.simpleString()}, {PIECES}"
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    packed = materialize(narrow.mapInArrow(first, pieces), "packed")
     packed = packed.withColumn("leftover", F.col("leftover") | _fillers(packed))
     loose = packed.where("leftover")
     total = loose.agg(F.sum("length")).first()[0] or 0
-    # Rows are dealt in turn in the order of their hash, so every task gets about a window's tokens, of all lengths.
-    tasks = max(1, -(-total // window_tokens))
-    tail = loose.select("doc_id", "piece", "start", "ids").repartition(tasks).mapInArrow(again, PIECES)
+    # Rows are dealt in turn in the order of their hash, so every task gets about as many tokens, of all lengths.
+    tasks = max(1, -(-total // tail_tokens))
+    tail = loose.select("doc_id", "piece", "start", "ids").repartition(tasks).mapInArrow(again, pieces)
     return packed.where("not leftover").unionByName(tail).drop("leftover", "longest", "room")
 
 

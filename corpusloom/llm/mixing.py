@@ -1,14 +1,16 @@
 """Op 8, mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
-Method: the mix is cut into blocks of `block` words. Highest quotients (weight / (2 k - 1)) give
-every source an integer number of blocks, no more than its cap; the same rule then divides a
-source's blocks among the shards of its documents by their words, and the words that a shard is too
-small for among its others. In each shard the documents
-stand in a seeded order and the quota's blocks are read off that stream, again from its start when
-it ends. So a document counts 0, 1 or 2 times, of which one count may be partial.
-
-Scale: one row per source reaches the driver. Shards are a hash of the document, so that a hot
-source spreads over all of them; the running sums that read off the blocks are per source and shard.
+Method: the mix is cut into blocks of `block` words. Highest quotients (target / (2 k - 1)) give
+every source an integer number of blocks: all quotients of at least half a block get one, so the
+house has the size that the targets add up to, rounded source by source. Highest quotients of words
+then divide a source's blocks among its shards, and the words that a shard is too small for among its
+others. In each shard the documents stand in a seeded order and the quota's blocks are read off that
+stream, again from its start when it ends. So a document counts 0, 1 or 2 times, of which one count
+may be partial.
+
+Scale: nothing that grows with the number of sources reaches the driver. A source has one shard for
+each `docs_per_shard` of its documents, chosen by a hash of the document: a hot source spreads over
+many, a thin one keeps to one; the running sums that read off the blocks are per source and shard.
 """
 
 from __future__ import annotations
@@ -33,21 +35,23 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
-def water_fill(sizes: list[float], weights: list[float], total: float, most: float) -> list[float]:
-    """Shares of `total` by weight; one above `most` times its size stops there and its excess goes to the others."""
-    out, open_, left = [0.0] * len(sizes), [i for i, x in enumerate(sizes) if x > 0], total
-    while open_:
-        unit = left / sum(weights[i] for i in open_)
-        full = [i for i in open_ if unit * weights[i] > most * sizes[i]]
-        if not full:
-            for i in open_:
-                out[i] = unit * weights[i]
-            break
-        for i in full:
-            out[i] = most * sizes[i]
-            left -= out[i]
-        open_ = [i for i in open_ if i not in set(full)]
-    return out
+def water_level(sources: DataFrame, total: float, most: float) -> float:
+    """The level `unit` at which min(unit * w, most * words), summed over `sources` (w, words), is `total`;
+    infinity if it never gets there.
+
+    Rounds of one aggregation, of one row a weight, each: whatever a level fills stays full at the next,
+    which is therefore higher. Sums are of integers, so reruns agree to the last bit.
+    """
+    unit, before = 0.0, -1
+    while True:
+        full = F.lit(unit) * F.col("w") > F.lit(most) * F.col("words")
+        found = sources.where("words > 0").groupBy("w").agg(F.sum(F.when(full, F.col("words")).otherwise(0)).alias("full"), F.count_if(full).alias("n"), F.count_if(~full).alias("open")).orderBy("w").collect()
+        filled, weight = sum(r["full"] for r in found), sum(r["w"] * r["open"] for r in found)
+        if not weight:
+            return float("inf")
+        if before == (before := sum(r["n"] for r in found)):
+            return unit
+        unit = (total - most * filled) / weight
 
 
 def sainte_lague(weights: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarray:
@@ -90,7 +94,7 @@ def mix_sources(
     share: float = 1.5,
     most: float = 2.0,
     block: int = 64,
-    docs_per_shard: int = 10_000,
+    docs_per_shard: int = 1_000,
     seed: int = 17,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -100,7 +104,9 @@ def mix_sources(
     nothing); they share `share` times all words, each at most `most` times its own. taken: words
     of the document in the mix, repeats counted, at most `most` times its size. A source's taken
     words differ from its target by at most a block, however many shards it has. Null texts and texts
-    without words take 0. Reruns with one seed agree: order is by a hash of seed, id and text.
+    without words take 0. Reruns with one seed agree: order is by a hash of seed, id and text; rows that
+    repeat both share a shard. An empty table gives no rows. Kept columns lie in a struct and cannot clash
+    with the result's.
     """
     text = F.col(text_col).cast("string")
     key = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"), text)
@@ -113,18 +119,12 @@ def mix_sources(
         F.struct(*[F.col(c) for c in keep] or [F.lit(None).cast("string").alias("none")]).alias("row"),
     )
     sized = materialize(sized, "sized")
-    n = sized.count()
-    shards = max(1, -(-n // docs_per_shard))
-    sized = sized.withColumn("shard", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)).cast("int"))
-    cells = sized.groupBy("source", "skey", "shard").agg(F.sum("size").alias("words"))
-    # One row a source.
-    found = sorted(((x["source"], int(x["words"])) for x in cells.groupBy("source").agg(F.sum("words").alias("words")).collect()), key=lambda x: (x[0] is None, x[0] or ""))
-    sizes = [x[1] for x in found]
-    w = [weights.get(s, 1.0) if weights else cycle[i % len(cycle)] for i, (s, _) in enumerate(found)]
-    targets = water_fill(sizes, w, share * sum(sizes), most)
-    quotas = sainte_lague(np.asarray(targets), round(sum(targets) / block), np.ceil(np.asarray(sizes) * most / block))
-    plan = docs.sparkSession.createDataFrame([(s, z, float(t), int(q)) for (s, z), t, q in zip(found, targets, quotas, strict=True)], "source string, source_size long, target double, quota long")
-    plan = plan.select(source_key(F.col("source")).alias("skey"), "source_size", "target", "quota")
+    plan = materialize(_plan(sized, cycle=cycle, weights=weights, share=share, most=most, block=block, docs_per_shard=docs_per_shard), "plan")
+    n, width = plan.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("skey")), F.lit(0))).first()
+    # Broadcast up to a checked size; beyond it a join that adaptive execution splits where a source is hot.
+    small = F.broadcast(plan) if n <= 100_000 and width <= 32 << 20 else plan
+    dealt = sized.join(small, "skey").withColumn("shard", F.pmod(F.xxhash64("key", F.lit(1)), F.col("shards")).cast("int"))
+    cells = dealt.groupBy("skey", "shard").agg(F.sum("size").alias("words"), F.first("quota").alias("quota"), F.first("target").alias("target"), F.first("shards").alias("shards"))
 
     def divide(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("shard", ignore_index=True)
@@ -137,17 +137,45 @@ def mix_sources(
         budget += sainte_lague(words, rest, caps - budget)
         return pd.DataFrame({"skey": pdf["skey"], "shard": pdf["shard"], "words": words, "budget": budget})
 
-    small = F.broadcast(plan) if len(found) <= 100_000 else plan  # one row a source
-    parts = cells.join(small, "skey").select("skey", "shard", "words", "quota", "target")
-    blocks = materialize(parts.groupBy("skey").applyInPandas(divide, "skey string, shard int, words long, budget long"), "blocks")
+    # A source of one shard has nothing to divide.
+    asked = F.when(F.col("quota") > 0, F.col("quota") * block).otherwise(F.rint("target").cast("long"))
+    alone = cells.where("shards = 1").select("skey", "shard", "words", F.least(asked, F.floor(F.col("words") * most)).alias("budget"))
+    blocks = cells.where("shards > 1").groupBy("skey").applyInPandas(divide, "skey string, shard int, words long, budget long")
+    blocks = materialize(alone.unionByName(blocks), "blocks")
     # The running sums and the join with the blocks share one partitioning, so documents move once.
     stream = Window.partitionBy("skey", "shard").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("before", F.coalesce(F.sum("size").over(stream), F.lit(0))).join(blocks, ["skey", "shard"])
+    placed = dealt.withColumn("before", F.coalesce(F.sum("size").over(stream), F.lit(0))).join(blocks, ["skey", "shard"])
     budget = F.col("budget")
     rounds = F.when(F.col("words") > 0, F.floor(budget / F.col("words"))).otherwise(0)
     part = budget - rounds * F.col("words") - F.col("before")
     taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), part))
-    return placed.join(small, "skey").select("doc_id", "source", "size", "source_size", "target", "quota", taken.cast("long").alias("taken"), "row")
+    return placed.select("doc_id", "source", "size", "source_size", "target", "quota", taken.cast("long").alias("taken"), "row")
+
+
+def _plan(sized: DataFrame, *, cycle: tuple[float, ...], weights: dict | None, share: float, most: float, block: int, docs_per_shard: int) -> DataFrame:
+    """Per source: skey, source_size, target, quota and shards."""
+    per = sized.groupBy("skey", "source").agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
+    order = [F.col("source").isNull(), F.col("source")]
+    # Places in the order of names: sizes of the ranges before, and the place within one's range.
+    ranged = materialize(per.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "sources")
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("n"), F.sum("words").alias("words"))
+    before = sizes.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))  # one row a range
+    place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1 + F.col("before")
+    named = ranged.join(F.broadcast(before), "range").withColumn("place", place)
+    if weights is None:
+        w = F.element_at(F.array(*map(F.lit, map(float, cycle))), (F.col("place") % len(cycle) + 1).cast("int"))
+    else:
+        listed = [F.lit(x) for s, v in weights.items() if s is not None for x in (s, float(v))]
+        own = F.create_map(*listed)[F.col("source")] if listed else F.lit(None).cast("double")
+        w = F.when(F.col("source").isNull(), F.lit(float(weights.get(None, 1.0)))).otherwise(F.coalesce(own, F.lit(1.0)))
+    named = materialize(named.select("skey", "words", "docs", w.alias("w")), "weights")
+    total = share * (named.agg(F.sum("words")).first()[0] or 0)
+    unit = water_level(named, total, most)
+    own = F.lit(most) * F.col("words")
+    target = F.when(F.col("words") > 0, F.least(F.lit(unit) * F.col("w"), own) if unit != float("inf") else own).otherwise(0.0)
+    quota = F.least(F.floor(target / block + 0.5), F.ceil(own / block)).cast("long")
+    shards = F.greatest(F.lit(1), F.ceil(F.col("docs") / docs_per_shard)).cast("int")
+    return named.select("skey", F.col("words").alias("source_size"), target.alias("target"), quota.alias("quota"), shards.alias("shards"))
 
 
 def mixing_digest(mixed: DataFrame) -> DataFrame:

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
-
 from ..session import table
-from . import htmltext, langid, mixing, neardup, packing, quality, rules, secrets, sharding, topk
+from . import htmltext, langid, mixing, neardup, packing, quality, rules, secrets, sharding, stages, topk
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +61,7 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 
-QUERIES["pipeline"] = corpus_pipeline.run
+QUERIES["pipeline"] = stages.run
 
 ORACLE_SQL: dict[str, str] = {
     "op4_secret_scans": secrets.ORACLE_SQL,

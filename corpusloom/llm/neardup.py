@@ -10,8 +10,10 @@ candidates, and every link is confirmed on the full shingle sets.
 No pairs within a group: documents with equal sets are one node. In each band's bucket all nodes
 are compared with two pivots only (the smallest and the largest node), linked nodes become
 components, and a second round compares the nodes of different components that still share a
-bucket: in blocks of bounded size, by their sketches first (a pair is left out if its agreement is
-over five standard deviations below the threshold), then exactly. What is left out in total: a pair at similarity s
+bucket: each member outside a bucket's largest component with the bucket's members, so that a few
+strangers among many copies cost no more than the copies' number; in blocks of bounded size, by their
+sketches first (a pair is left out if its agreement is over five standard deviations below the
+threshold), then exactly. What is left out in total: a pair at similarity s
 shares no band with probability (1 - s^rows)^bands, 3e-6 at 0.8.
 """
 
@@ -167,7 +169,8 @@ def _bit_rows(k: int):
 
 
 def _rivals(least: int, cents: int):
-    """Within one pair of a bucket's blocks: pairs of different components that may be similar enough.
+    """Within one group (two parts of a bucket, i and j, the first of strangers): pairs of different components
+    that may be similar enough.
 
     Each pair comes from the first band that its two nodes share, so no pair comes twice.
     """
@@ -176,7 +179,7 @@ def _rivals(least: int, cents: int):
         """Pairs (left, right) of one group."""
         bucket, i, j = rows["key"][0], rows["i"][0], rows["j"][0]
         found: list[np.ndarray] = []
-        left, right = np.flatnonzero(rows["block"] == i), np.flatnonzero(rows["block"] == j)
+        left, right = np.flatnonzero(rows["part"] == i), np.flatnonzero(rows["part"] == j)
         if len(left) and len(right):
             (lbits, rbits), (lc, rc), (ln, rn), (lid, rid), (lb, rb) = ((rows[c][left], rows[c][right]) for c in ("bits", "comp", "n", "nid", "bands"))
             band = int((lb[0] == bucket).argmax())
@@ -197,7 +200,7 @@ def _rivals(least: int, cents: int):
         return np.concatenate(found) if found else np.empty((0, 2), np.int64)
 
     def columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "block", "nid", "comp")}
+        out = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "i", "j", "part", "nid", "comp")}
         out["n"] = batch.column("n").to_numpy(zero_copy_only=False).astype(np.float64)
         out["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), _U).reshape(batch.num_rows, -1)
         out["bands"] = batch.column("bands").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
@@ -296,22 +299,28 @@ def near_duplicates(
 
     # Second round: nodes of different components that still share a bucket.
     marked = members.join(labels, "nid", "left").select("key", "nid", "members", F.coalesce("comp", "nid").alias("comp"))
-    mixed = marked.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("key")
-    rival = marked.join(mixed, "key")
-    bits = texts.join(rival.select("nid").distinct(), "nid").select("nid", "text").mapInArrow(_bit_rows(k), "nid long, bits binary")
+    # Per bucket of several components: its largest one (ties: the smaller number); who isn't in that is a stranger there.
+    sizes = marked.groupBy("key", "comp").agg(F.count("*").alias("c"), F.first("members").alias("members"))
+    top = sizes.groupBy("key").agg(F.max(F.struct("c", (-F.col("comp")).alias("least"))).alias("top"), F.count("*").alias("comps"), F.first("members").alias("members"))
+    mixed = top.where("comps > 1").select("key", (-F.col("top.least")).alias("main"), (F.col("members") - F.col("top.c")).alias("minors"))
+    rivals = materialize(marked.join(mixed, "key").withColumn("minor", F.col("comp") != F.col("main")).drop("main"), "rival")
+    bits = texts.join(rivals.select("nid").distinct(), "nid").select("nid", "text").mapInArrow(_bit_rows(k), "nid long, bits binary")
     bits = materialize(bits, "bits")
-    rival = rival.join(bits, "nid").join(nodes.select("nid", "n", "bands"), "nid")
-    # A bucket is met in blocks of about `block` members; every pair of blocks is a group of its own.
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    mine = F.pmod(F.xxhash64("nid"), blocks).cast("int")
-    rival = rival.withColumn("block", mine).withColumn("o", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rival = rival.select("key", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block", "nid", "comp", "n", "bits", "bands")
+    rival = rivals.join(bits, "nid").join(nodes.select("nid", "n", "bands"), "nid")
+    # Parts of about `block` nodes, those of strangers first; each of these meets itself and every other part, in a group of its own.
+    first, rest = F.ceil(F.col("minors") / block).cast("int"), F.ceil((F.col("members") - F.col("minors")) / block).cast("int")
+    mine = F.xxhash64("nid")
+    rival = rival.withColumn("part", F.when(F.col("minor"), F.pmod(mine, first)).otherwise(first + F.pmod(mine, rest)).cast("int"))
+    rival = rival.withColumn("o", F.explode(F.sequence(F.lit(0), F.when(F.col("minor"), first + rest).otherwise(first) - 1)))
+    rival = rival.select("key", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"), "part", "nid", "comp", "n", "bits", "bands")
     sd = ((1 + threshold) / 2 * (1 - threshold) / 2 / BITS) ** 0.5
     least = int(((1 + threshold) / 2 - 5 * sd) * BITS)
     # Sorted runs instead of grouped pandas: most groups have a handful of rows.
     more = rival.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_rivals(least, round(threshold * 100)), "a long, b long")
     late = materialize(verified(more.join(star, ["a", "b"], "left_anti")).distinct(), "late")
     labels = connected_components(links.union(late))
+    for done in (shared, members, texts, rivals, bits, links, late):
+        release(done)
 
     # Component ids; nodes without a link keep their own smallest document.
     linked = labels.join(nodes.select("nid", F.col("first.doc_id").alias("d")), "nid")

@@ -3,10 +3,18 @@
 Method: a line is described by binned signals of itself and of its two neighbours; transitions are
 learned. Forward-backward gives each line's probability of being good, and a document's score is
 the mean of these, weighted by the lines' lengths (at least 1 each, so that empty texts have a
-score). A line of a labelled document carries the document's label in training.
-
-Fitted on at most ``max_train`` labelled documents, drawn by a hash of the id; every document is
-scored. Signals come from byte counts over a whole batch of texts at once, never line by line.
+score).
+
+Only documents are labelled, so the lines' labels are latent and found by rounds of posterior
+regularization. A first model judges lines one by one. In every round each document's line
+probabilities are moved, all by one shift of their log-odds and only as far as needed, until their
+weighted mean is at least `GOOD_LEAST` for a good document and at most `BAD_MOST` for a bad one; the
+CRF then learns from these probabilities. So a bad document keeps good lines, a good one bad ones,
+and transitions see both.
+
+Fitted on at most ``max_train`` labelled documents a label, of at most ``max_text`` characters each,
+drawn by a hash of the id; every document is scored. Signals come from byte counts over a whole batch
+of texts at once, never line by line.
 """
 
 from __future__ import annotations
@@ -22,6 +30,8 @@ from .crf import Adam, forward_backward
 
 BINS = 9
 QUANTILES = (0.1, 0.3, 0.5, 0.7, 0.85, 0.95, 0.99)
+#: Bounds of the mean line probability of a labelled document, weighted by length.
+GOOD_LEAST, BAD_MOST = 0.8, 0.3
 #: Names of the signals of a line; each is a ratio or a size, cut at the quantiles of the training lines.
 SIGNALS = ("bytes", "words", "letters", "upper", "digits", "symbols", "bars", "marks", "stops", "high", "mean_word", "dup", "again")
 
@@ -109,75 +119,125 @@ def features(x: np.ndarray, cuts: np.ndarray, per_text: np.ndarray) -> np.ndarra
     return np.concatenate([own + base, before + base + step, after + base + 2 * step], axis=1)
 
 
-def fit(texts: list[str], good: np.ndarray, *, epochs: int = 120, rate: float = 0.05, l2: float = 1.0, good_share: float = 0.75) -> dict:
+def shifted(p: np.ndarray, weight: np.ndarray, per_text: np.ndarray, good: np.ndarray) -> np.ndarray:
+    """Line probabilities `p`, each text's moved by one shift of their log-odds, if need be, until their weighted
+    mean is at least GOOD_LEAST (good texts) or at most BAD_MOST (the others)."""
+    at = np.concatenate([[0], np.cumsum(per_text)[:-1]])
+    odds = np.log(np.clip(p, 1e-6, 1 - 1e-6)) - np.log1p(-np.clip(p, 1e-6, 1 - 1e-6))
+    whole = np.add.reduceat(weight, at)
+
+    def mean(shift: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(weight / (1 + np.exp(-(odds + np.repeat(shift, per_text)))), at) / whole
+
+    now, aim = mean(np.zeros(len(at))), np.where(good == 1, GOOD_LEAST, BAD_MOST)
+    needed = np.where(good == 1, now < aim, now > aim)
+    low, high = np.where(good == 1, 0.0, -30.0), np.where(good == 1, 30.0, 0.0)
+    for _ in range(40):
+        mid = (low + high) / 2
+        above = mean(mid) > aim
+        low, high = np.where(above, low, mid), np.where(above, mid, high)
+    shift = np.where(needed, (low + high) / 2, 0.0)
+    return 1 / (1 + np.exp(-(odds + np.repeat(shift, per_text))))
+
+
+def fit(texts: list[str], good: np.ndarray, *, rounds: int = 4, epochs: int = 40, rate: float = 0.08, l2: float = 1.0, good_share: float = 0.75) -> dict:
     """CRF weights from whole texts and their labels; full-batch Adam on the log-likelihood per text."""
     x, size, per_text = line_signals(texts)
     cuts = cut_points(x)
     f = features(x, cuts, per_text)
-    y = np.repeat(good.astype(int), per_text)
+    y = np.repeat(good.astype(float), per_text)
+    n_own = x.shape[1]
     w, bias, trans = np.zeros(int(f.max()) + 1 + 3 * (BINS + 1)), np.zeros(1), np.zeros((2, 2))
-    # Each text counts once, however many lines it has; a label's texts weigh `good_share` or the rest together.
+    # Each text counts once, its lines by their length; a label's texts weigh `good_share` or the rest together.
     share = np.where(good == 1, good_share / max(1, (good == 1).sum()), (1 - good_share) / max(1, (good == 0).sum()))
+    length = np.maximum(size, 1)
+    at = np.concatenate([[0], np.cumsum(per_text)[:-1]])
     weight = np.repeat(share / per_text, per_text)
-    same = np.zeros((2, 2))
     inner = np.ones(len(y), bool)
-    inner[np.cumsum(per_text)[:-1]] = False
-    inner[0] = False
-    np.add.at(same, (y[inner], y[inner]), weight[inner])
-    opt = Adam([w, bias, trans], rate)
-    for _ in range(epochs):
-        gap = w[f].sum(axis=1) + bias[0]
-        scores = np.stack([-gap / 2, gap / 2], axis=1)
-        p, joint = forward_backward(scores, per_text, trans, pairs=True, weight=weight)
-        g = (p[:, 1] - y) * weight
-        opt.step([np.bincount(f.ravel(), np.repeat(g, f.shape[1]), minlength=len(w)) + l2 * 1e-4 * w, np.array([g.sum()]), joint - same + l2 * 1e-3 * trans])
-    return {"w": w, "bias": float(bias[0]), "trans": trans, "cuts": cuts}
+    inner[at] = False
+    second = np.flatnonzero(inner)
+
+    def learn(q: np.ndarray, columns: np.ndarray, chains: np.ndarray) -> None:
+        """`epochs` steps towards line probabilities `q`, by the features in `columns`."""
+        soft = np.stack([1 - q, q], axis=1)
+        seen = (soft[second - 1] * weight[second, None]).T @ soft[second] if len(chains) < len(q) else trans * 0
+        opt = Adam([w, bias, trans], rate)
+        for _ in range(epochs):
+            gap = w[columns].sum(axis=1) + bias[0]
+            p, joint = forward_backward(np.stack([-gap / 2, gap / 2], axis=1), chains, trans, pairs=True, weight=weight)
+            g = (p[:, 1] - q) * weight
+            opt.step([np.bincount(columns.ravel(), np.repeat(g, columns.shape[1]), minlength=len(w)) + l2 * 1e-4 * w, np.array([g.sum()]), joint - seen + l2 * 1e-3 * trans])
+
+    # Line by line first: own signals, no neighbours, no transitions.
+    learn(y, f[:, :n_own], np.ones(len(y), np.int64))
+    model = {"w": w, "bias": 0.0, "trans": trans, "cuts": cuts}
+    for i in range(rounds):
+        columns, chains = (f[:, :n_own], np.ones(len(y), np.int64)) if i == 0 else (f, per_text)
+        gap = w[columns].sum(axis=1) + bias[0]
+        p = forward_backward(np.stack([-gap / 2, gap / 2], axis=1), chains, trans)[:, 1]
+        learn(shifted(p, length, per_text, good), f, per_text)
+    model["bias"] = float(bias[0])
+    return model
+
+
+def line_marginals(texts: list[str | None], model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability of being good of every line, the lines' bytes, and lines per text."""
+    x, size, per_text = line_signals(texts)
+    f = features(x, model["cuts"], per_text)
+    gap = model["w"][np.minimum(f, len(model["w"]) - 1)].sum(axis=1) + model["bias"]
+    return forward_backward(np.stack([-gap / 2, gap / 2], axis=1), per_text, model["trans"])[:, 1], size, per_text
 
 
 def score(texts: list[str | None], model: dict) -> np.ndarray:
     """Probability in [0, 1] of being good, per text."""
     if not texts:
         return np.empty(0)
-    x, size, per_text = line_signals(texts)
-    f = features(x, model["cuts"], per_text)
-    gap = model["w"][np.minimum(f, len(model["w"]) - 1)].sum(axis=1) + model["bias"]
-    p = forward_backward(np.stack([-gap / 2, gap / 2], axis=1), per_text, model["trans"])[:, 1]
+    p, size, per_text = line_marginals(texts, model)
     weight = np.maximum(size, 1)
     at = np.concatenate([[0], np.cumsum(per_text)[:-1]])
     return np.clip(np.add.reduceat(p * weight, at) / np.add.reduceat(weight, at), 0, 1)
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", usable=None, max_train: int = 1500, seed: int = 7) -> dict:
-    """Model from at most `max_train` of each label's rows, drawn by a hash of the id; `usable` filters ids.
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", usable=None, max_train: int = 1500, max_text: int = 200_000, seed: int = 7) -> dict:
+    """Model from at most `max_train` documents a label, drawn by a hash of the id; `usable` filters ids.
 
-    Without rows of both labels the model is neutral: every score is 0.5.
+    Labels other than 0 and 1 and null ids aren't used; an id of both labels is none of either's; of documents
+    that share an id the one of the smallest text counts, a null text as an empty one. Drawn documents of over
+    `max_text` characters are left out, so that what is fetched has a bound. Without documents of both labels
+    the model is neutral: every score is 0.5.
     """
-    known = labels.where(F.col(label_col).isin(0, 1) & F.col(label_id).isNotNull()).select(F.col(label_id).alias("doc_id"), F.col(label_col).cast("int").alias("y")).distinct()
+    neutral = {"w": np.zeros(1), "bias": 0.0, "trans": np.zeros((2, 2)), "cuts": np.zeros((len(SIGNALS), BINS - 1))}
+    known = labels.where(F.col(label_col).isin(0, 1) & F.col(label_id).isNotNull()).groupBy(F.col(label_id).alias("doc_id")).agg(F.min(label_col).cast("int").alias("y"), F.max(label_col).cast("int").alias("z")).where("y = z").drop("z")
     if usable is not None:
         known = known.where(usable(F.col("doc_id")))
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     if len(sizes) < 2:
-        return {"w": np.zeros(1), "bias": 0.0, "trans": np.zeros((2, 2)), "cuts": np.zeros((len(SIGNALS), BINS - 1))}
+        return neutral
     # About max_train of a label's rows are drawn, never over 1.5 times that; the cut below makes it exact.
-    keep = F.lit(False)
+    keep, h = F.lit(False), F.xxhash64("doc_id", F.lit(seed))
     for y, n in sizes.items():
-        keep |= (F.col("y") == y) & (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < int(1_000_000 * min(1.0, 1.3 * max_train / n)))
+        keep |= (F.col("y") == y) & (F.pmod(h, F.lit(1_000_000)) < int(1_000_000 * min(1.0, 1.3 * max_train / n)))
     drawn = F.broadcast(known.where(keep))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(drawn, "doc_id").select("doc_id", "text", "y", F.xxhash64("doc_id", F.lit(seed)).alias("h")).collect()
+    found = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).where(F.length("text") <= max_text).join(drawn, "doc_id")
+    rows = found.groupBy("y", h.alias("h")).agg(F.min("text").alias("text")).collect()
     texts, good = [], []
-    for y in sizes:
-        mine = sorted((r for r in rows if r["y"] == y), key=lambda r: (r["h"], r["text"] or ""))[:max_train]
-        texts += [r["text"] or "" for r in mine]
+    for y in sorted(sizes):
+        mine = sorted((r for r in rows if r["y"] == y), key=lambda r: r["h"])[:max_train]
+        texts += [r["text"] for r in mine]
         good += [y] * len(mine)
-    if len(set(good)) < 2:
-        return {"w": np.zeros(1), "bias": 0.0, "trans": np.zeros((2, 2)), "cuts": np.zeros((len(SIGNALS), BINS - 1))}
-    return fit(texts, np.array(good))
+    return fit(texts, np.array(good)) if len(set(good)) == 2 else neutral
 
 
 def classify(docs: DataFrame, model: dict, *, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in `keep` and `score` (double), one row per row of `docs`. Null texts count as empty."""
+    """The columns in `keep` and `score` (double), one row per row of `docs`.
+
+    Null texts count as empty, which is one empty line; equal texts have equal scores, repeated rows each their
+    own; an empty table gives no rows. Other columns of `docs` may have any name; a column `score` of `keep`
+    gives way to the result's.
+    """
     from pyspark.sql.types import DoubleType, StructField, StructType
 
+    keep = tuple(c for c in keep if c != "score")
     picked = docs.select(*[F.col(c) for c in keep], F.col(text_col).cast("string").alias("__text"))
     schema = StructType([*picked.schema.fields[:-1], StructField("score", DoubleType())])
 

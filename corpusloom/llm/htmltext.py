@@ -7,13 +7,21 @@ end tags; a renderer walks the tree and drops what a browser would not show (hea
 closed ends at the first tag or text that can't be in it; an svg shows its text and foreign objects. Blocks start new
 lines, blocks with margins leave a blank line, list items carry their bullet or number under their
 list's indentation, preformatted text keeps its white space, and the cells of a table's column are
-padded to one width. Nothing visible is lost: there is no boilerplate removal here.
+padded to one display width, that of its widest line of at most `MAX_CELL` columns; a longer line stays
+whole and moves what follows it. Nothing visible is lost: there is no boilerplate removal here.
+
+Cost is linear in the page: open elements are found by their tag, whatever the nesting, and rows are as
+long as their cells.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -50,7 +58,10 @@ IMPLIED = {
 #: An end tag is not looked for beyond these.
 BARRIER = _set("table td th caption")
 MAX_DEPTH = 120
+#: A line of a cell that is wider doesn't widen its column. The standard's limits of spans.
+MAX_CELL, MAX_COLSPAN, MAX_ROWSPAN = 100, 1000, 65534
 
+_title, _title_end = re.compile("(?i)<title(?=[\\s/>])"), re.compile("(?i)</title")
 _space = re.compile(r"[ \t\n\f\r]+")
 _style = re.compile(r"(?i)(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)")
 
@@ -63,51 +74,65 @@ class Element:
 
 
 class TreeBuilder(HTMLParser):
-    """`root`, an element html. Elements below MAX_DEPTH levels become siblings there, as browsers do."""
+    """`root`, an element html. Elements below MAX_DEPTH levels become siblings there, as browsers do; what
+    they hide stays hidden."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
         self.open = [self.root]
-        self.svgs: list[int] = []  # places in `open` where an svg was pushed
+        self.places: dict[str, list[int]] = defaultdict(list)  # tag: its places in `open`
+        self.deep: list[tuple[Element, bool, Element]] = []  # below MAX_DEPTH: where content goes, whether it is visible, where it would go outside
+
+    def _last(self, tags: frozenset) -> int:
+        """Place of the lowest open element of `tags`; 0 without one."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def _cut(self, at: int) -> None:
+        """Closes the elements from place `at` on."""
+        while len(self.open) > at:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
+            if self.deep:
+                _, _, outside = self.deep.pop()
+                if tag in BLOCK:  # its content lies beside it: what follows starts a line all the same
+                    outside.children.append(Element("p" if tag in MARGIN else "div", {}))
 
     def _close(self, tags: frozenset, stops: frozenset) -> None:
         """Closes the lowest open element of `tags` and all in it, unless one of `stops` lies in between."""
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                # All of the tags that lie directly above belong to the same construct (a cell in its row).
-                while i > 1 and self.open[i - 1].tag in tags:
-                    i -= 1
-                del self.open[i:]
-                return
-            if self.open[i].tag in stops:
-                return
+        at = self._last(tags)
+        if at and at >= self._last(stops):
+            # All of the tags that lie directly above belong to the same construct (a cell in its row).
+            while at > 1 and self.open[at - 1].tag in tags:
+                at -= 1
+            self._cut(at)
 
     def _svg(self) -> int:
         """Place of the outermost open svg whose drawing the next tag is part of; 0 if there is none."""
-        while self.svgs and (self.svgs[-1] >= len(self.open) or self.open[self.svgs[-1]].tag != "svg"):
-            self.svgs.pop()
-        at = 0
-        for i in range(len(self.open) - 1, self.svgs[0] - 1 if self.svgs else len(self.open), -1):
-            if self.open[i].tag in SVG_HTML:
-                break
-            if self.open[i].tag == "svg":
-                at = i
-        return at
+        svgs = self.places.get("svg")
+        if not svgs:
+            return 0
+        at = bisect_right(svgs, self._last(SVG_HTML))
+        return svgs[at] if at < len(svgs) else 0
 
     def _close_head(self) -> None:
         while self.open[-1].tag == "head":
-            self.open.pop()
+            self._cut(len(self.open) - 1)
+
+    def _host(self) -> Element:
+        """The element that content goes to."""
+        return self.deep[-1][0] if self.deep else self.open[-1]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        attrs = dict(reversed(attrs))  # the first of equal names counts
         if tag == "html":
-            self.root.attrs.update(attrs)
+            self.root.attrs = attrs | self.root.attrs
             return
         at = self._svg()
-        if at and (tag in ENDS_SVG or (tag == "font" and any(k in ("color", "face", "size") for k, _ in attrs))):
-            del self.open[at:]
+        if at and (tag in ENDS_SVG or (tag == "font" and not attrs.keys().isdisjoint(("color", "face", "size")))):
+            self._cut(at)
         elif at:
-            self._push(tag, dict(attrs))
+            self._push(tag, attrs)
             return
         if tag not in IN_HEAD:
             self._close_head()
@@ -116,49 +141,62 @@ class TreeBuilder(HTMLParser):
         elif tag in CLOSES_P:
             self._close(_set("p"), BARRIER | _set("button"))
             if tag[0] == "h" and tag[1:].isdigit() and re.fullmatch("h[1-6]", self.open[-1].tag):
-                self.open.pop()
+                self._cut(len(self.open) - 1)
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
         if tag in ("td", "th") and self.open[-1].tag in ("table", "thead", "tbody", "tfoot"):
             self._push("tr", {})
         if tag in VOID:
-            self.open[-1].children.append(Element(tag, dict(attrs)))
+            self._host().children.append(Element(tag, attrs))
         else:
-            self._push(tag, dict(attrs))
+            self._push(tag, attrs)
 
     def _push(self, tag: str, attrs: dict) -> None:
-        element = Element(tag, attrs)
-        if tag == "svg":
-            self.svgs.append(len(self.open))
-        self.open[min(len(self.open), MAX_DEPTH) - 1].children.append(element)
+        element, host = Element(tag, attrs), self._host()
+        if len(self.open) >= MAX_DEPTH:
+            _, shown, outside = self.deep[-1] if self.deep else (host, True, host)
+            if tag == "summary" and self.open[-1].tag == "details":
+                host = outside  # a closed one shows its summary
+            inside, now = _visible(element, shown)
+            goes_on = host
+            if not inside or (tag == "details" and "open" not in attrs):
+                goes_on = Element("", {})  # part of no tree
+            elif now != shown:
+                goes_on = Element("span", {"style": f"visibility:{'visible' if now else 'hidden'}"})
+                host.children.append(goes_on)
+            self.deep.append((goes_on, now, host))
+        host.children.append(element)
+        self.places[tag].append(len(self.open))
         self.open.append(element)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         drawn = self._svg() and tag not in ENDS_SVG
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML, but ends an element of svg
         if (tag == "svg" or drawn) and self.open[-1].tag == tag:
-            self.open.pop()
+            self._cut(len(self.open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
-            self.open[-1].children.append(Element("br", {}))
+            self._host().children.append(Element("br", {}))
             return
         stops = frozenset() if tag in BARRIER | _set("tr thead tbody tfoot body html") else BARRIER
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if self.open[i].tag in stops:
-                break
-        if tag == "p":
-            self.open[-1].children.append(Element("p", {}))
+        at = self._last(frozenset([tag]))
+        if at and at >= self._last(stops):
+            self._cut(at)
+        elif tag == "p":
+            self._host().children.append(Element("p", {}))
 
     def handle_data(self, data: str) -> None:
-        at = self.open[min(len(self.open), MAX_DEPTH) - 1]
-        if at.tag == "head" and data.strip():
+        if self.open[-1].tag == "head" and data.strip():
             self._close_head()
-            at = self.open[-1]
-        at.children.append(data)
+        self._host().children.append(data)
+
+
+def _width(text: str) -> int:
+    """Columns that a text takes where it is shown: two for a wide character, none for a combining one."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) or unicodedata.category(c) in ("Mn", "Me", "Cf") else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
 class _Lines:
@@ -287,18 +325,12 @@ def _table(e: Element, out: _Lines, shown: bool) -> None:
             for x in c.children:
                 if not (isinstance(x, Element) and x.tag == "tr"):
                     _render(x, out, _visible(c, shown)[1])
-    grid: list[list[list[str]]] = []
-    spans: list[set[int]] = []
-    below: dict[int, int] = {}  # column: rows that a cell above still takes
+    grid: list[list[tuple[int, bool, list[str]]]] = []  # per row: column, whether over one column only, lines
+    below: list[tuple[int, int, int]] = []  # cells that go on in the next row: first column, end, rows left
     for row, vis in _table_rows(e, shown):
-        cells: list[list[str]] = []
-        wide: set[int] = set()
-
-        def skip(cells: list = cells) -> None:
-            while below.get(len(cells), 0) > 0:
-                below[len(cells)] -= 1
-                cells.append([])
-
+        cells: list[tuple[int, bool, list[str]]] = []
+        taken, at, i = below, 0, 0
+        below = [(lo, hi, n - 1) for lo, hi, n in taken if n > 1]
         for c in row.children:
             if isinstance(c, str) or c.tag not in ("td", "th"):
                 if isinstance(c, Element) or c.strip():
@@ -307,38 +339,39 @@ def _table(e: Element, out: _Lines, shown: bool) -> None:
             inside, v = _visible(c, vis)
             if not inside:
                 continue
-            skip()
+            while i < len(taken) and taken[i][0] <= at:
+                at, i = max(at, taken[i][1]), i + 1
             lines = _Lines()
             for x in c.children:
                 _render(x, lines, v)
-            colspan = max(1, min(_number(c.attrs.get("colspan"), 1), 100))
-            rowspan = max(1, min(_number(c.attrs.get("rowspan"), 1), 1000))
-            for k in range(colspan):
-                if rowspan > 1:
-                    below[len(cells)] = rowspan - 1
-                if k == 0 and colspan > 1:
-                    wide.add(len(cells))
-                cells.append(lines.end() if k == 0 else [])
-        skip()
+            wide = max(1, min(_number(c.attrs.get("colspan"), 1), MAX_COLSPAN))
+            high = max(1, min(_number(c.attrs.get("rowspan"), 1), MAX_ROWSPAN))
+            if high > 1:
+                below.append((at, at + wide, high - 1))
+            cells.append((at, wide == 1, lines.end()))
+            at += wide
+        below.sort()
         grid.append(cells)
-        spans.append(wide)
+    # Columns in which no cell begins take no room.
     widths: dict[int, int] = {}
-    for cells, wide in zip(grid, spans, strict=True):
-        for j, lines in enumerate(cells):
-            if j not in wide:
-                widths[j] = max([widths.get(j, 0), *map(len, lines)])
+    for cells in grid:
+        for j, single, lines in cells:
+            widths[j] = max([widths.get(j, 0), *(w for w in map(_width, lines) if single and w <= MAX_CELL)])
+    used, starts = sorted(widths), [0]
+    for j in used:
+        starts.append(starts[-1] + widths[j] + 2)
     out.block(1)
     for cells in grid:
-        for i in range(max([0, *map(len, cells)])):
-            text = ""
-            at = 0
-            for j, lines in enumerate(cells):
-                text = text.ljust(at) + (lines[i] if i < len(lines) else "")
-                at += widths.get(j, 0) + 2
-                if len(text) > at - 2:
-                    text += "  "
-            if text.strip():
-                out.rule(text.rstrip())
+        for i in range(max([0, *(len(lines) for _, _, lines in cells)])):
+            parts, at = [], 0
+            for j, _, lines in cells:
+                if i < len(lines) and lines[i]:
+                    gap = starts[bisect_left(used, j)] - at
+                    gap = max(gap, 2) if at else gap
+                    parts += [" " * gap, lines[i]]
+                    at += gap + _width(lines[i])
+            if parts:
+                out.rule("".join(parts).rstrip())
         out.block(1)
 
 
@@ -449,22 +482,23 @@ def render(html: str | None) -> str:
 
 def title(html: str | None) -> str:
     """Text of the first title element, white space collapsed; '' without one."""
-    m = re.search(r"(?is)<title[^>]*>(.*?)</title", html or "")
-    if not m:
-        return ""
-    from html import unescape
-
-    return _space.sub(" ", unescape(m[1])).strip()
+    html = html or ""
+    start = _title.search(html)
+    opened = html.find(">", start.end()) if start else -1
+    end = _title_end.search(html, opened) if opened >= 0 else None
+    return _space.sub(" ", unescape(html[opened + 1 : end.start()])).strip() if end else ""
 
 
 def extract_text(pages: DataFrame, *, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """The columns in `keep`, `title` and `text`, one row per row of `pages`.
 
-    Null and empty pages have empty texts; unbalanced or deeply nested markup loses no visible text;
-    repeated rows each have their result; an empty table gives no rows.
+    Null and empty pages have empty texts; unbalanced or deeply nested markup loses no visible text and
+    shows no hidden one; repeated rows each have their result; an empty table gives no rows. Other columns
+    may have any name; of `keep`, title and text give way to the result's.
     """
     from pyspark.sql.types import StringType, StructField, StructType
 
+    keep = tuple(c for c in keep if c not in ("title", "text"))
     picked = pages.select(*[F.col(c) for c in keep], F.col(html_col).cast("string").alias("__html"))
     schema = StructType([*picked.schema.fields[:-1], StructField("title", StringType()), StructField("text", StringType())])
 

@@ -2,16 +2,17 @@
 
 Method: every rule compares one signal of a document with a cutoff, and a ladder of ``STEPS``
 steps holds cutoffs for all rules, fixed in advance from loose to strict. Labelled documents (label
-1: good) are the holdout. For each stratum (here: language) the good documents that a step would
+1: good, 0: bad) that pass the base rules are the holdout, every distinct text one draw. For each stratum (here: language) the good documents that a step would
 reject are counted, and the exact binomial (Clopper-Pearson) upper bound of its false rejection
 rate is taken. Steps are tested from loose to strict until the first that fails (a fixed sequence,
 so a stratum costs one test), and the strata share the error probability ``delta`` equally
-(Bonferroni). So with probability 1 - delta at most ``alpha`` of the good documents of every
-stratum are rejected. Of the certified steps a stratum takes the one that rejects most documents
+(Bonferroni). So with probability 1 - delta at most ``alpha`` of the good distinct texts of every
+stratum that pass the base rules are rejected by the cutoffs. The base rules are given, not chosen: what
+they reject comes on top and has no such bound. Of the certified steps a stratum takes the one that rejects most documents
 labelled bad, and of those the loosest; without bad ones it rejects none.
 
 Scale: signals are computed where the text is read and written as a narrow table; what reaches the
-driver are counts per stratum, rule and grid step.
+driver are counts per stratum and step, for at most ``max_strata`` strata.
 """
 
 from __future__ import annotations
@@ -125,20 +126,23 @@ def choose_steps(counts: dict, *, alpha: float, delta: float) -> dict:
     return out
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", label_id: str = "doc_id", label_col: str = "quality", alpha: float = 0.05, delta: float = 0.05, min_words: int = 50, max_repeat_percent: int = 50, rules: dict = RULES) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", label_id: str = "doc_id", label_col: str = "quality", alpha: float = 0.05, delta: float = 0.05, min_words: int = 50, max_repeat_percent: int = 50, max_strata: int = 1000, rules: dict = RULES) -> DataFrame:
     """One row per row of `docs`: doc_id, SIGNALS, stratum, base_failed, failed_rules (array), kept.
 
     base_failed: fewer than `min_words` words or more than `max_repeat_percent` % repeated ones. Null
     and empty texts have no words and fail. A null stratum is a stratum of its own; one without
-    enough labelled good documents has no certified cutoff and its documents fail the base only.
-    Rows whose label is null or no row of `docs` are not used; if an id has several label rows or
-    documents, each pair counts. Repeated rows each have their result.
+    enough labelled good documents to bound any rejection by `alpha`, or beyond the `max_strata` that have
+    most of them (ties by name), has no certified cutoff and its documents fail the base only. Labels other
+    than 0 and 1 and those of no row of `docs` are not used; a text counts once a stratum and label, however
+    many labels and copies it has. Repeated rows each have their result; an empty table gives no rows. Other
+    columns may have any name.
     """
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.col(text_col).cast("string").alias("text"))
-    ddl = f"doc_id {docs.schema[id_col].dataType.simpleString()}, stratum string, " + ", ".join(f"{s} long" for s in SIGNALS)
+    text = F.col(text_col).cast("string")
+    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    ddl = f"doc_id {docs.schema[id_col].dataType.simpleString()}, stratum string, text_hash long, " + ", ".join(f"{s} long" for s in SIGNALS)
     seen = materialize(narrow.mapInArrow(_signal_rows, ddl), "signals")
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    known = labels.where(F.col(label_col).isNotNull()).select(F.col(label_id).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(label_id).alias("doc_id"), F.col(label_col).cast("int").alias("label")).distinct()
     held = seen.where(~base).join(known, "doc_id")
 
     def ratio(rule: str):
@@ -147,14 +151,21 @@ def quality_rules(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
 
     # The first step that rejects a document: per rule the number of cutoffs that it doesn't exceed, the least of these.
     step = lambda rule: F.size(F.filter(F.array(*map(F.lit, rules[rule][2])), lambda c: ratio(rule) <= c))
-    held = held.select("stratum", "label", F.least(*map(step, rules)).alias("step"))
+    held = held.groupBy("stratum", "text_hash", "label").agg(F.min(F.least(*map(step, rules))).alias("step"))
+    per = held.groupBy("stratum", "step").agg(F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad"))
+    per = materialize(per, "steps")
+    # With fewer good ones even no false rejection at all proves nothing.
+    least = math.ceil(math.log(delta) / math.log1p(-alpha))
+    large = per.groupBy("stratum").agg(F.sum("good").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "stratum").limit(max_strata)
+    chosen = per.alias("p").join(F.broadcast(large).alias("l"), F.col("p.stratum").eqNullSafe(F.col("l.stratum"))).select("p.*")
     counts: dict = {}
-    for row in held.groupBy("stratum", "step", "label").count().collect():
+    for row in chosen.collect():
         good, bad = counts.setdefault(row["stratum"], (np.zeros(STEPS + 1, int), np.zeros(STEPS + 1, int)))
-        (good if row["label"] == 1 else bad)[row["step"]] += row["count"]
+        good[row["step"]] += row["good"]
+        bad[row["step"]] += row["bad"]
     by = {s: {r: rules[r][2][i] for r in rules} for s, i in choose_steps(counts, alpha=alpha, delta=delta).items() if i is not None}
     spark = docs.sparkSession
-    # One row a stratum that has cutoffs.
+    # One row a stratum that has cutoffs: at most max_strata.
     table = spark.createDataFrame([(s, x) for s, x in by.items()], "stratum string, cutoffs map<string,double>")
     failed = F.filter(F.array(*[F.when(ratio(r) > F.col("cutoffs")[r], F.lit(r)) for r in rules]), lambda x: x.isNotNull())
     out = seen.alias("d").join(F.broadcast(table).alias("c"), F.col("d.stratum").eqNullSafe(F.col("c.stratum")), "left")

@@ -7,9 +7,9 @@ shares of the total) is highest.
 Groups of equal texts stay together. At any scale the driver places only a bounded number of
 items: light groups are hashed into ``bundles`` (a group never leaves its bundle), and a group
 larger than a bundle's share in any dimension is an item of its own, at most three times
-``n_shards * bundles_per_shard`` of them; a group as large as a fair part of a shard is split by
-document into chunks, as one third of all rows may be one text. The placement table is broadcast;
-its size has that bound too.
+``n_shards * bundles_per_shard`` of them; a group that is more than `split_share` of a shard, and only
+such a one, is split by document into chunks of about that size, as one third of all rows may be one
+text. The placement table is broadcast; its size has that bound too.
 """
 
 from __future__ import annotations
@@ -27,14 +27,17 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
 
 
-def place(items: np.ndarray, n_shards: int) -> np.ndarray:
-    """Shard of each item. items: n x 3 (bytes, tokens, rows). Ties go to the lower shard."""
+def place(items: np.ndarray, n_shards: int, weights: tuple[float, float, float] = (2.0, 1.0, 1.0)) -> np.ndarray:
+    """Shard of each item. items: n x 3 (bytes, tokens, rows). Ties go to the lower shard.
+
+    `weights` are those of the dimensions in the dot product: bytes, whose balance is promised, count double.
+    """
     total = np.maximum(items.sum(axis=0, dtype=np.float64), 1)
     share = items / total
     residual = np.full((n_shards, items.shape[1]), 1 / n_shards)
     out = np.zeros(len(items), np.int64)
     for i in np.lexsort((np.arange(len(items)), -share.max(axis=1))):
-        best = int(np.argmax(residual @ share[i]))
+        best = int(np.argmax(residual @ (share[i] * weights)))
         out[i] = best
         residual[best] -= share[i]
     return out
@@ -51,7 +54,7 @@ def assign_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     bundles_per_shard: int = 256,
-    split_share: float = 1 / 8,
+    split_share: float = 1 / 2,
     slot_parts: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -59,8 +62,9 @@ def assign_shards(
 
     size: UTF-8 bytes plus 8; slot: place in the shard, gapless from 0, by a hash of the document
     and then its id, so that a shard's order is unrelated to its sources. A text's rows share a
-    shard unless they make up more than `split_share` of a shard. Null texts are one group, of 8
-    bytes a row. Repeated rows keep their number. An empty table gives no rows.
+    shard unless they make up more than `split_share` of a shard's bytes, words or rows. Null texts are one group, of 8
+    bytes a row. Repeated rows keep their number. An empty table gives no rows. Kept columns lie in a struct
+    and cannot clash with the result's.
     """
     text = F.col(text_col).cast("string")
     base = docs.select(
@@ -79,7 +83,7 @@ def assign_shards(
     share = F.greatest(F.col("b") / max(b, 1), F.col("t") / max(t, 1), F.col("r") / max(r, 1))
     # Each heavy group has over 1/n_bundles of the bytes, tokens or rows: at most 3 * n_bundles of them.
     heavy = share > 1 / n_bundles
-    own = groups.where(heavy).select("gid", "b", "t", "r", F.greatest(F.lit(1), F.least(F.col("r"), F.ceil(share * n_shards / split_share))).cast("int").alias("chunks")).orderBy("gid").collect()
+    own = groups.where(heavy).select("gid", "b", "t", "r", F.when(share * n_shards > split_share, F.least(F.col("r"), F.ceil(share * n_shards / split_share))).otherwise(1).cast("int").alias("chunks")).orderBy("gid").collect()
     light = groups.where(~heavy).groupBy(bundle.alias("item")).agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.sum("r").alias("r")).orderBy("item").collect()
     spark = docs.sparkSession
     # A split group's chunks by their real rows; its texts are equal, so bytes and tokens follow.
@@ -104,7 +108,7 @@ def assign_shards(
     placed = spark.createDataFrame(list(zip(map(int, names), map(int, shards), strict=True)), "item int, shard int")
     split = spark.createDataFrame(splits, "gid long, first int, chunks int")
 
-    # Both tables have a proven bound: 3 * n_bundles groups and n_bundles + 3 * n_bundles + n_shards / split_share items.
+    # Both tables have a proven bound: 3 * n_bundles groups and n_bundles + 3 * n_bundles + 3 * n_shards / split_share items.
     chunk = F.col("first") + chunk_of("chunks")
     sharded = base.join(F.broadcast(split), "gid", "left").withColumn("item", F.coalesce(chunk, bundle)).join(F.broadcast(placed), "item")
     # An order within the shard from many small sorts: sub-buckets by hash, and their sizes added up.

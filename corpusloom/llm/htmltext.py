@@ -161,6 +161,8 @@ class TreeBuilder(HTMLParser):
             goes_on = host
             if not inside or (tag == "details" and "open" not in attrs):
                 goes_on = Element("", {})  # part of no tree
+            elif tag in ("text", "foreignobject") and host.tag not in ("text", "foreignobject"):
+                goes_on = element  # an svg shows the text of these only
             elif now != shown:
                 goes_on = Element("span", {"style": f"visibility:{'visible' if now else 'hidden'}"})
                 host.children.append(goes_on)

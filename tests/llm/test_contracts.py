@@ -32,7 +32,6 @@ def test_op1(spark, sf, docs):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     rows = registry.QUERIES["op1_best_fit_packing"](spark, sf).collect()
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:

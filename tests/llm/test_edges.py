@@ -1,11 +1,12 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, for every operator; methods by hand."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from corpusloom.llm import crf, htmltext, langid, mixing, neardup, packing, quality, rules, secrets, sharding, topk
+from corpusloom.llm import crf, htmltext, langid, mixing, neardup, packing, quality, rules, secrets, sharding, stages, topk
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -63,7 +64,15 @@ def test_packing_obeys_every_capacity():
 def test_encoder_survives_long_white_space():
     enc = packing.encoder(packing.default_ranks())
     assert len(packing.encode(enc, " " * 1_000_000)) > 0
-    assert packing.encode(enc, "a<|endoftext|>b") == enc.encode_ordinary("a<|endoftext|>b")
+
+
+def test_encoder_gives_the_ids_of_the_tokenizer():
+    """Special tokens' strings included, and on the slow way too."""
+    from tokenizers import Tokenizer
+
+    enc, tok = packing.encoder(packing.default_ranks()), Tokenizer.from_file(packing.default_json())
+    for text in ("a<|endoftext|>b", " <|endoftext|> x<|endoftext|>", "<|endoftext|", "", " " * 400_000 + "<|endoftext|>"):
+        assert packing.encode(enc, text) == tok.encode(text, add_special_tokens=False).ids
 
 
 def test_html_layout():
@@ -131,6 +140,54 @@ def test_secret_ownership_and_redaction(spark):
     assert stats == {"live"}
 
 
+def test_secret_verdict_decides(spark):
+    """A base span that three sources hold is reported as an example and not redacted; a null source is one of its own."""
+    shared, own = "token = 'Example123'", "password: hunter2hunter2"
+    df = spark.createDataFrame([(1, f"{shared} {own}", "a"), (2, shared, "b"), (3, f"x {shared}", None), (4, "api_key=Example123", "a"), (5, own, "a")], "doc_id long, text string, source string")
+    found = secrets.find_secrets(df, keep=("text",))
+    got = {r["doc_id"]: r for r in secrets.secrets_digest(found).collect()}
+    assert got[1]["spans"] == "assign:0:19,assign:21:45" and (got[1]["owners"], got[1]["verdicts"]) == ("3,1", "example,live")
+    assert got[4]["verdicts"] == "example" and got[5]["repos"] == "1"
+    clean = {r["doc_id"]: r["x"] for r in found.select("doc_id", secrets.redacted(F.col("row.text"), F.col("spans")).alias("x")).collect()}
+    assert clean == {1: f"{shared} [SECRET]", 2: shared, 3: f"x {shared}", 4: "api_key=Example123", 5: "[SECRET]"}
+    every = {r["doc_id"]: r["x"] for r in found.select("doc_id", secrets.redacted(F.col("row.text"), F.col("spans"), only=None).alias("x")).collect()}
+    assert every[2] == "[SECRET]'"
+
+
+def test_secrets_against_sql_on_made_up_texts(spark):
+    import random
+
+    import duckdb
+
+    rng = random.Random(1)
+    before = ['token = "', "password:", "secret=", "AKIA" + "A" * 16, "é ", "api_key='", " ", "\n", ""]
+    parts = ["0a1b2c3d4e5f" * 3, "zZ9" + "k" * 20, "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzzzzzzzz1", "Q7x+" * 8 + "==", "my-long-slug-of-words-2024", "aa1/" * 10]
+    chars = "abcdefXYZ0123456789+/_-=."
+    made = lambda: "".join(rng.choice(before) + (rng.choice(parts) if rng.random() < 0.6 else "".join(rng.choices(chars, k=rng.randint(1, 40)))) for _ in range(rng.randint(0, 6)))
+    df = spark.createDataFrame([(i, made() if i else None, f"s{rng.randint(0, 5)}" if rng.random() < 0.9 else None) for i in range(800)], "doc_id long, text string, source string")
+    got, con = secrets.secrets_digest(secrets.find_secrets(df)).toPandas(), duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.sql(secrets.ORACLE_SQL).df()
+    cols = sorted(want.columns)
+    a, b = (x[cols].astype(str).sort_values(cols, ignore_index=True).values.tolist() for x in (got, want))
+    assert cols == sorted(got.columns) and a == b
+    assert got["spans"].str.contains("key").any() and got["verdicts"].str.contains("example").any()
+
+
+def test_many_secrets_in_one_text(spark):
+    """Places and redaction by plain running sums, over a text of 20,000 matches."""
+    parts = [("%032x" % (i * 7919), f" é zZ9{i:020x}k ") for i in range(10_000)]
+    text = "".join(a + b for a, b in parts)
+    df = spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")
+    row = secrets.find_secrets(df, keep=("text",)).select("spans", secrets.redacted(F.col("row.text"), F.col("spans")).alias("x")).first()
+    want, at = [], 0
+    for a, b in parts:
+        want += [("hex", at, at + 32), ("bare", at + 35, at + 59)]
+        at += 32 + len(b)
+    assert [(s["kind"], s["start"], s["end"]) for s in row["spans"]] == want
+    assert row["x"] == "[SECRET] é [SECRET] " * 10_000
+
+
 def test_secret_base64_keys(spark):
     key, shared = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzzzzzzzz1", "Qx7/rT2+bN9vK4mZ8sW1yL6uE3oP5aH0cJdFgIqA=="
     rest = "q7Wz+R4tK9/mB2xV8nL5cJ1"
@@ -151,18 +208,40 @@ def test_topk(spark):
         got = sorted(map(tuple, topk.top_k(df, k=3, shard_rows=rows, query_rows=1).collect()))
         assert got == [(0, 1, 20, 20480), (0, 2, 1, 12288), (0, 3, 2, 12288), (20, 1, 0, 20480), (20, 2, 1, 12288), (20, 3, 2, 12288)]
     assert topk.top_k(df.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        topk.top_k(spark.createDataFrame([(0, [1e9])], "vec_id long, embedding array<float>"))
+
+
+def test_topk_of_large_values_and_clashing_columns(spark):
+    """Any finite vector has its score, exact in whole numbers and kept within a long."""
+    rng, top = np.random.default_rng(0), (1 << 63) - 1
+    for size in (2e6, 1e12, 1e17):
+        rows = [(i, [float(np.float32(x)) for x in rng.normal(size=4) * size], 0, "x") for i in range(60)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int, block string")
+        whole = {i: [max(-top - 1, min(top, math.floor(x * 64))) for x in v] for i, v, *_ in rows}
+        want = []
+        for q in range(0, 60, 20):
+            best = sorted((-max(-top, min(top, sum(a * b for a, b in zip(whole[q], whole[c], strict=True)))), c) for c in whole if c != q)[:5]
+            want += [(q, r, c, -s) for r, (s, c) in enumerate(best, 1)]
+        assert sorted(map(tuple, topk.top_k(df, k=5, shard_rows=16, group_trees=2).collect())) == want
+
+
+def test_topk_ties_beyond_a_group(spark):
+    """A very common vector: the smallest ids win, whatever trees they are in."""
+    df = spark.createDataFrame([(i, [1.0, 0.0] if i % 3 else [0.5, float(i % 2)]) for i in range(400)], "vec_id long, embedding array<double>")
+    got = topk.top_k(df, k=4, shard_rows=32, query_rows=5, group_trees=2).where("query_id = 20").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [1, 2, 4, 5] and {r["score"] for r in got} == {4096}
 
 
 def test_ball_tree_is_exact():
     rng = np.random.default_rng(1)
     p, q = rng.integers(-9, 9, (500, 6)), rng.integers(-9, 9, (20, 6))
-    ids = rng.permutation(500)
-    got = topk.BallTree(p, leaf=8).search(ids, q, np.full(20, -1), np.full(20, -np.inf), 7)
-    for x, (found, scores) in zip(q, got, strict=True):
-        want = sorted(((-int(s), int(i)) for s, i in zip(p @ x, ids, strict=True)))[:7]
-        assert [(-s, i) for s, i in zip(scores, found, strict=True)] == want
+    ids, own = rng.permutation(500), np.arange(20)
+    best = topk.Best(np.full(20, -topk.LARGEST - 1), np.full(20, topk.LARGEST), 7)
+    for half in (slice(0, 250), slice(250, 500)):
+        topk.BallTree.unpacked(topk.BallTree(p[half], ids[half], leaf=8).packed()).search(q, own, best)
+    asked, found, scores = best.rows
+    for i, x in enumerate(q):
+        want = sorted((-int(s), int(j)) for s, j in zip(p @ x, ids, strict=True) if j != own[i])[:7]
+        assert [(-s, j) for s, j in zip(scores[asked == i], found[asked == i], strict=True)] == want
 
 
 def test_sharding(table):
@@ -313,19 +392,19 @@ def test_pipeline_stages(spark, table, tmp_path, sf):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
     docs = table
-    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+    for i, (name, stage) in enumerate(stages.STAGES):
         out = stage(spark, docs, str(tmp_path))
         out.write.parquet(str(tmp_path / f"s{i}"))
         docs = spark.read.parquet(str(tmp_path / f"s{i}"))
-        if i < len(corpus_pipeline.STAGES) - 1:
-            assert docs.columns == list(corpus_pipeline.COLUMNS)
+        if i < len(stages.STAGES) - 1:
+            assert docs.columns == list(stages.COLUMNS)
 
 
 def test_pipeline_stage_decisions(spark):
     body = " ".join(f"word{i}" for i in range(80))
     rows = [(1, body, "en", "a", 1), (2, body, "en", "b", 1), (3, body + " tail", "en", "b", 1), (4, "password=hunter22 " + "other " * 3, "en", "a", 1), (5, "", "en", "a", 0), (6, None, "en", "a", 0)]
     df = spark.createDataFrame(rows, DDL)
-    kept = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    kept = stages.drop_near_duplicates(spark, df, "")
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5, 6]
-    text = {r["doc_id"]: r["text"] for r in corpus_pipeline.redact_secrets(spark, df, "").collect()}
+    text = {r["doc_id"]: r["text"] for r in stages.redact_secrets(spark, df, "").collect()}
     assert text[4].startswith("[SECRET] other") and text[1] == body and text[5] == ""

@@ -4,8 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from corpusloom.llm import packing, quality
-from corpusloom.llm.mixing import water_fill
+from corpusloom.llm import packing, quality, stages
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BASE = (
@@ -15,22 +14,40 @@ BASE = (
 )
 
 
+def water_fill(sizes, weights, total, most):
+    """Shares of `total` by weight; one above `most` times its size stops there and its excess goes to the others."""
+    out, open_, left = [0.0] * len(sizes), [i for i, x in enumerate(sizes) if x > 0], total
+    while open_:
+        unit = left / sum(weights[i] for i in open_)
+        full = [i for i in open_ if unit * weights[i] > most * sizes[i]]
+        for i in full or open_:
+            out[i] = most * sizes[i] if full else unit * weights[i]
+        left -= sum(out[i] for i in full)
+        open_ = [i for i in open_ if i not in full] if full else []
+    return out
+
+
 def plain_spans(text):
-    return sorted((m.start(), m.end()) for p, ok in BASE for m in p.finditer(text) if ok(m))
+    """Base spans with their values."""
+    return sorted((m.start(), m.end(), m[m.re.groups]) for p, ok in BASE for m in p.finditer(text) if ok(m))
 
 
 def plain_redaction(docs):
-    """{doc_id: text}: base spans and the bare tokens that fewer than three sources hold."""
-    bare, owners = defaultdict(list), defaultdict(set)
+    """{doc_id: text}: spans of values that fewer than three sources hold, base ones and bare tokens outside these."""
+    found, owners = defaultdict(list), defaultdict(set)
     for i, text, source in docs:
-        base = plain_spans(text)
-        for m in re.finditer("[A-Za-z0-9_-]{20,}", text):
-            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not any(s < m.end() and m.start() < e for s, e in base):
-                bare[i].append((m.start(), m.end(), m[0]))
-                owners[m[0]].add(source)
+        found[i] = plain_spans(text)
+        masked = list(text)
+        for s, e, _ in found[i]:
+            masked[s:e] = "\0" * (e - s)
+        for m in re.finditer("[A-Za-z0-9_-]{20,}", "".join(masked)):
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]):
+                found[i].append((m.start(), m.end(), m[0]))
+        for _, _, value in found[i]:
+            owners[value].add(source)
     out = {}
     for i, text, _ in docs:
-        spans, at, done = sorted(plain_spans(text) + [(s, e) for s, e, v in bare[i] if len(owners[v]) < 3]), 0, ""
+        spans, at, done = sorted((s, e) for s, e, v in found[i] if len(owners[v]) < 3), 0, ""
         for s, e in spans:
             if s >= at:
                 done += text[at:s] + "[SECRET]"
@@ -89,4 +106,8 @@ def test_stages_against_plain_versions(spark, sf, tmp_path):
     for r in packed:
         got[r["doc_id"]] += r["length"]
     assert got == tokens and sum(r["piece"] == 0 for r in packed) == len(mixed)
+    sequences = defaultdict(list)
+    for r in packed:
+        sequences[r["sequence_id"]].append(r["length"])
+    assert all(sum(x) <= 2048 and len(x) <= stages.MAX_DOCS and (len(x) == 1 or sum(n * n for n in x) <= stages.MAX_COST) for x in sequences.values())
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, sf).collect()) == sorted(r["doc_id"] for r in packed)

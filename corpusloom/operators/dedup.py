@@ -10,6 +10,7 @@ a kept one are dropped, and so on until none is undecided. Two shuffles a round,
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -29,27 +30,68 @@ def fingerprint(text: Column) -> Column:
 
 
 def exact_keep(docs: DataFrame, *, text_col: str = "text", order_col: str = "doc_id") -> DataFrame:
-    """Adds `is_first`: no earlier row has the same text."""
-    first = F.min(F.col(order_col)).over(Window.partitionBy(fingerprint(F.col(text_col))))
-    return docs.withColumn("is_first", F.col(order_col) == first)
+    """Adds `is_first`: no earlier row has the same text. A null text is a text of its own.
 
-
-def drop_seen(new: DataFrame, seen: DataFrame, key: str = "fp") -> DataFrame:
-    """Rows of `new` whose key is not in `seen`; of rows with one key, one stays."""
-    return new.dropDuplicates([key]).join(seen.select(key), key, "left_anti")
-
-
-class _Prefixes(dict):
-    """Shingle -> first 32 bits of its MD5, for the shingles met lately (they repeat a lot)."""
-
-    def __missing__(self, shingle: str) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[shingle] = h = int.from_bytes(hashlib.md5(shingle.encode("utf-8", "surrogatepass")).digest()[:4], "big")
-        return h
-
-
-_prefixes = _Prefixes()
+    Fingerprints are reduced before they are shuffled, and the join may split a hot one.
+    """
+    marked = docs.withColumn("_fp", F.coalesce(fingerprint(F.col(text_col)), F.lit("")))
+    first = marked.groupBy("_fp").agg(F.min(order_col).alias("_first"))
+    return marked.join(first, "_fp").withColumn("is_first", F.col(order_col) == F.col("_first")).drop("_fp", "_first")
+
+
+def drop_seen(new: DataFrame, seen: DataFrame | None = None, key: str = "fp", order_col: str | None = None) -> DataFrame:
+    """Rows of `new` whose key is not in `seen` (also DUP-4: what is completed); of rows with one key one stays, the
+    first by `order_col` if that is given."""
+    if order_col is None:
+        once = new.dropDuplicates([key])
+    else:
+        once = new.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in new.columns if c != key]), order_col).alias("_row")).select(key, "_row.*").select(*new.columns)
+    return once if seen is None else once.join(seen.select(key), key, "left_anti")
+
+
+#: Shifts and constants of MD5 (RFC 1321).
+_SHIFTS = [s for row in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for s in row * 4]
+_SINES = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
+_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+
+
+def md5_prefixes(block: np.ndarray) -> np.ndarray:
+    """First 32 bits of the MD5 digests of messages of one block each, padded as MD5 asks for: [n, 16] words."""
+    start = [np.full(len(block), x, np.uint32) for x in _START]
+    a, b, c, d = start
+    for i in range(64):
+        if i < 16:
+            f, g = (b & c) | (~b & d), i
+        elif i < 32:
+            f, g = (d & b) | (~d & c), (5 * i + 1) % 16
+        elif i < 48:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | ~d), 7 * i % 16
+        f = f + a + np.uint32(_SINES[i]) + block[:, g]
+        a, d, c = d, c, b
+        b = b + (f << np.uint32(_SHIFTS[i]) | f >> np.uint32(32 - _SHIFTS[i]))
+    return (a + start[0]).byteswap()
+
+
+def _blocks(codes: np.ndarray) -> np.ndarray:
+    """Padded message blocks [n, 16] of the UTF-8 forms of strings of equal length, given as code points [n, k]."""
+    n, k = codes.shape
+    out, at, rows = np.zeros((n, 64), np.uint8), np.zeros(n, np.int64), np.arange(n)
+    for j in range(k):
+        c = codes[:, j]
+        size = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
+        for part in range(4):
+            here = np.flatnonzero(size > part)
+            x, more = c[here], size[here] - 1 - part
+            lead = np.choose(size[here] - 1, [0, 0xC0, 0xE0, 0xF0])
+            low = x >> (6 * more).astype(np.uint32)
+            out[rows[here], at[here] + part] = (low | lead if part == 0 else (low & 0x3F) | 0x80).astype(np.uint8)
+        at += size
+    out[rows, at] = 0x80
+    block = out.view("<u4").copy()
+    block[:, 14] = at * 8
+    return block
 
 
 def hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,23 +106,60 @@ def hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def signature_udf(n_hashes: int = 128, shingle: int = 5):
     """text -> array<long> of minima of (a * h + b) mod 2^32 over the MD5 prefixes of its character shingles."""
-    a, b = hash_family(n_hashes)
+    a, b = (x.astype(np.uint32) for x in hash_family(n_hashes))
 
-    def one(text: str | None) -> list[int] | None:
-        if text is None:
-            return None
-        low = text.lower()
-        found = {low[i : i + shingle] for i in range(max(1, len(low) - shingle + 1))}
-        h = np.fromiter(map(_prefixes.__getitem__, found), np.uint64, len(found))
-        best = np.full(n_hashes, 0xFFFFFFFF, np.uint64)
-        for at in range(0, len(h), 4096):
-            block = (h[at : at + 4096, None] * a + b) & np.uint64(0xFFFFFFFF)
-            np.minimum(best, block.min(axis=0), out=best)
+    def least(h: np.ndarray) -> list[int]:
+        best = np.full(n_hashes, 0xFFFFFFFF, np.uint32)
+        for at in range(0, len(h), 2048):
+            np.minimum(best, (h[at : at + 2048, None] * a + b).min(axis=0), out=best)
         return best.astype(np.int64).tolist()
 
+    def plain(low: str) -> list[int]:
+        found = {low[i : i + shingle] for i in range(max(1, len(low) - shingle + 1))}
+        return least(np.array([int.from_bytes(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()[:4], "big") for x in found], np.uint32))
+
+    def many(lows: list[str]) -> list[list[int]]:
+        """Of texts of at least `shingle` characters; each distinct shingle is hashed once."""
+        codes = np.frombuffer("".join(lows).encode("utf-32-le", "surrogatepass"), np.uint32)
+        letters, ids = np.unique(codes, return_inverse=True)
+        if len(letters) ** shingle >= 1 << 63:
+            return [plain(x) for x in lows]
+        sizes = np.array([len(x) for x in lows])
+        starts = np.cumsum(sizes) - sizes
+        key = np.zeros(len(codes) - shingle + 1, np.int64)
+        for j in range(shingle):
+            key = key * len(letters) + ids[j : j + len(key)]
+        mine = [np.unique(key[s : s + n - shingle + 1]) for s, n in zip(starts, sizes, strict=True)]
+        every = np.unique(np.concatenate(mine))
+        spelled = np.stack([letters[every // len(letters) ** (shingle - 1 - j) % len(letters)] for j in range(shingle)], axis=1)
+        h = md5_prefixes(_blocks(spelled))
+        return [least(h[np.searchsorted(every, x)]) for x in mine]
+
     @pandas_udf(ArrayType(LongType()))
     def signature(text: pd.Series) -> pd.Series:
-        return text.map(one)
+        out: list[list[int] | None] = [None] * len(text)
+        todo: list[tuple[int, str]] = []
+        held = 0
+
+        def done() -> None:
+            for (i, _), got in zip(todo, many([x for _, x in todo]) if todo else [], strict=True):
+                out[i] = got
+            todo.clear()
+
+        for i, x in enumerate(text):
+            if x is None:
+                continue
+            low = x.lower()
+            if len(low) < shingle or shingle > 13:  # 13 characters surely fit a block of MD5
+                out[i] = plain(low)
+                continue
+            todo.append((i, low))
+            held += len(low)
+            if held > 500_000:
+                done()
+                held = 0
+        done()
+        return pd.Series(out, dtype=object)
 
     return signature
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 _words = lambda s: frozenset(s.split())
 #: Elements and containers taken out, phrases of boilerplate, limits.
@@ -132,10 +132,12 @@ def extract(html: str | None) -> tuple[str, str] | None:
         if node.tag in ("h1", "h2", "h3", "h4"):
             headings.append(clean_text(node.text()))
         elif node.tag == "p":
-            paragraphs.append(clean_text(node.text()))
+            raw = node.text().strip()
+            if MIN_PARAGRAPH <= len(raw) <= MAX_PARAGRAPH and not any(b in raw.lower() for b in BOILERPLATE):
+                paragraphs.append(clean_text(raw))
     title = first.get("title") or first.get("h1") or ""
     headings = [h for h in headings if h and _same(h) != _same(title)]
-    paragraphs = [p for p in paragraphs if MIN_PARAGRAPH <= len(p) <= MAX_PARAGRAPH and not any(b in p.lower() for b in BOILERPLATE)]
+    paragraphs = [p for p in paragraphs if p]
     text = clean_text("\n\n".join(x for x in [title, *headings, *paragraphs] if x))
     if len(text) < MIN_TEXT or _same(text) == _same(title) or len(text) < len(title) + 60 or (not paragraphs and len(text) < 200):
         return None
@@ -159,9 +161,20 @@ def links(html: str | None, most: int = 500_000) -> list[str]:
     return parser.found
 
 
-@pandas_udf(StructType([StructField("title", StringType()), StructField("text", StringType())]))
+_EXTRACTED = StructType([StructField("title", StringType()), StructField("text", StringType()), StructField("failed", BooleanType())])
+
+
+@pandas_udf(_EXTRACTED)
 def extract_udf(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([extract(x) or (None, None) for x in html], columns=["title", "text"])
+    """title, text (null without main content), and whether the extractor raised: one page never fails its batch."""
+
+    def one(x: str | None) -> tuple:
+        try:
+            return *(extract(x) or (None, None)), False
+        except Exception:
+            return None, None, True
+
+    return pd.DataFrame([one(x) for x in html], columns=["title", "text", "failed"])
 
 
 @pandas_udf(ArrayType(StringType()))
@@ -169,9 +182,15 @@ def links_udf(html: pd.Series) -> pd.Series:
     return html.map(links)
 
 
+def try_extract(pages: DataFrame, *, html_col: str = "html") -> DataFrame:
+    """Adds `title`, `text` and `failed` to every row, without the html."""
+    kept = [c for c in pages.columns if c not in (html_col, "title", "text", "failed")]
+    return pages.withColumn("x", extract_udf.asNondeterministic()(F.col(html_col))).select(*kept, "x.title", "x.text", "x.failed")
+
+
 def extract_pages(pages: DataFrame, *, html_col: str = "html") -> DataFrame:
-    """Adds `title` and `text`; rows without main content are left out (dead letters: see streaming)."""
-    return pages.withColumn("x", extract_udf(F.col(html_col))).where("x.text is not null").withColumns({"title": F.col("x.title"), "text": F.col("x.text")}).drop("x", html_col)
+    """`title` and `text` of the rows with main content; the others are left out (dead letters: see streaming)."""
+    return try_extract(pages, html_col=html_col).where("text is not null").drop("failed")
 
 
 def page_links(pages: DataFrame, *, url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -8,9 +8,9 @@ Profiles are a parameter: any table (lang, rank, gram), or built from labelled t
 from __future__ import annotations
 
 import json
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,6 +25,28 @@ def _sample(text: str | None) -> str:
     return (text or "")[:SAMPLE].lower()
 
 
+def grams(lows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed trigrams of lower-cased texts, the text that each belongs to, and its place there."""
+    codes = np.frombuffer("".join(lows).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    sizes = np.array([len(x) for x in lows], np.int64)
+    if len(codes) < 3:
+        return (np.empty(0, np.int64),) * 3
+    text = np.repeat(np.arange(len(lows)), sizes)
+    pos = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    inside = text[:-2] == text[2:]
+    key = codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:]
+    return key[inside], text[:-2][inside], pos[:-2][inside]
+
+
+def _packed(gram: str) -> int:
+    a, b, c = map(ord, gram)
+    return a << 42 | b << 21 | c
+
+
+def _spelled(key: int) -> str:
+    return chr(key >> 42) + chr(key >> 21 & 0x1FFFFF) + chr(key & 0x1FFFFF)
+
+
 def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = PROFILE, sample: int | None = None) -> DataFrame:
     """lang, rank (from 0), gram: the n most frequent trigrams of each language, ties by gram.
 
@@ -35,11 +57,17 @@ def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got: Counter = Counter()
-            for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
-                s = (text or "").lower()
-                got.update((lang, s[i : i + 3]) for i in range(len(s) - 2))
-            yield pd.DataFrame([(*k, v) for k, v in got.items()], columns=["lang", "gram", "n"])
+            for lang, mine in pdf.groupby("lang")["text"]:
+                lows, held, parts = [], 0, []
+                for text in mine:
+                    lows.append((text or "").lower())
+                    held += len(lows[-1])
+                    if held > 2_000_000:
+                        parts.append(np.unique(grams(lows)[0], return_counts=True))
+                        lows, held = [], 0
+                parts.append(np.unique(grams(lows)[0], return_counts=True))
+                for keys, n in parts:
+                    yield pd.DataFrame({"lang": lang, "gram": [_spelled(k) for k in keys.tolist()], "n": n})
 
     text = F.col(text_col) if sample is None else F.substring(text_col, 1, sample)
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text.alias("text"))
@@ -64,24 +92,36 @@ def scorer(profiles: DataFrame, text_col: str = "text", n: int = PROFILE, most:
     listed = profiles.select("lang", "rank", "gram").limit(most + 1).collect()
     if len(listed) > most:
         raise ValueError(f"more than {most} profile rows")
-    index: dict[str, list[tuple[str, int]]] = {}
-    for r in sorted(listed):
-        index.setdefault(r["gram"], []).append((r["lang"], n - r["rank"]))
-
-    def one(text: str | None) -> tuple[str, int, int]:
-        s, scores, first = _sample(text), {}, {}
-        for i in range(len(s) - 2):
-            for lang, score in index.get(s[i : i + 3], ()):
-                scores[lang] = scores.get(lang, 0) + score
-                first.setdefault(lang, i)
-        if not scores:
-            return "unknown", 0, 0
-        best = min(scores, key=lambda x: (-scores[x], first[x], x))
-        return best, scores[best], sum(scores.values())
+    langs = sorted({r["lang"] for r in listed})
+    place = {lang: i for i, lang in enumerate(langs)}
+    entries = sorted((_packed(r["gram"]), place[r["lang"]], n - r["rank"]) for r in listed if len(r["gram"]) == 3)
+    keys, owner, points = (np.array([e[i] for e in entries], np.int64) for i in range(3))
+
+    def many(texts: list[str | None]) -> list[tuple[str, int, int]]:
+        got: list[tuple[str, int, int]] = [("unknown", 0, 0)] * len(texts)
+        key, text, pos = grams([_sample(x) for x in texts])
+        lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+        n_hits = hi - lo
+        if not n_hits.sum():
+            return got
+        # One row a match: of a text's trigram and a profile's entry.
+        row = np.repeat(np.arange(len(key)), n_hits)
+        entry = np.arange(len(row)) - np.repeat(np.cumsum(n_hits) - n_hits, n_hits) + np.repeat(lo, n_hits)
+        pair, inverse = np.unique(text[row] * len(langs) + owner[entry], return_inverse=True)
+        scores = np.bincount(inverse, points[entry]).astype(np.int64)
+        first = np.full(len(pair), len(key))
+        np.minimum.at(first, inverse, pos[row])
+        total = np.bincount(pair // len(langs), scores, minlength=len(texts)).astype(np.int64)
+        order = np.lexsort((pair % len(langs), first, -scores, pair // len(langs)))
+        best = order[np.unique(pair[order] // len(langs), return_index=True)[1]]
+        for i in best:
+            at = int(pair[i] // len(langs))
+            got[at] = langs[pair[i] % len(langs)], int(scores[i]), int(total[at])
+        return got
 
     @pandas_udf(StructType([StructField("language", StringType()), StructField("best", LongType()), StructField("total", LongType())]))
     def score(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(x) for x in text], columns=["language", "best", "total"])
+        return pd.DataFrame([x for at in range(0, len(text), 500) for x in many(text.iloc[at : at + 500].tolist())], columns=["language", "best", "total"])
 
     return score(F.substring(text_col, 1, SAMPLE))
 

@@ -1,7 +1,4 @@
-"""Tokenizer operators over public vocabularies (of TOK-4..14, AGG-5..11, EXP-1..5).
-
-Left out: unk_rate and vocab_coverage (AGG-5..7; `warnings` takes an unk_rate from its caller), the
-first-N sampling AGG-11, n_unks of the edge cases (TOK-12), TOK-10 and TOK-11.
+"""Tokenizer operators over public vocabularies (TOK-4..14, AGG-5..10, EXP-1..6, SNK-3, SNK-7).
 
 Tokenizers are never trained here: a tokenizer is a JSON file of the `tokenizers` library, given by path.
 """
@@ -11,13 +8,18 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import time
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
+from ..scratch import materialize
+
 _loaded: dict = {}
 
 #: Strings on which every tokenizer is tried.
@@ -111,20 +113,49 @@ def pad(rows: DataFrame, *, ids_col: str = "ids", pad_id: int = 0, batch_col: st
     return out.withColumns({"input_ids": F.concat(ids_col, F.array_repeat(F.lit(pad_id), fill)), "attention_mask": F.concat(ones, zeros), "labels": F.concat(ids_col, F.array_repeat(F.lit(-100), fill))})
 
 
+def unk_id(path: str) -> int | None:
+    """Id of the unknown token, if the vocabulary has one."""
+    model = load(path)
+    return next((i for i in map(model.token_to_id, ("<unk>", "[UNK]")) if i is not None), None)
+
+
+def properties(path: str) -> dict:
+    """vocab_size and the ids of the pad, bos, eos and unk tokens; None where there is none (TOK-11)."""
+    tok = load(path)
+    named = {"pad_id": ("<pad>", "[PAD]"), "bos_id": ("<bos>", "<s>", "<|endoftext|>"), "eos_id": ("<eos>", "</s>", "<|endoftext|>")}
+    found = {k: next((i for i in map(tok.token_to_id, names) if i is not None), None) for k, names in named.items()}
+    return {"vocab_size": tok.get_vocab_size(), **found, "unk_id": unk_id(path)}
+
+
 def metrics(docs: DataFrame, path: str, *, text_col: str = "text", lang_col: str = "lang", vocab_size: int | None = None) -> DataFrame:
-    """Per language and overall (language null): docs, words, chars, tokens, unique tokens and the ratios of these."""
-    from ..functions.text import n_words
+    """Per language and overall (language null): docs, words, chars, tokens, unks, unique tokens and the ratios of these.
+
+    Texts are encoded once: each Arrow batch gives its sums and its counts by token, and only these are shuffled.
+    """
+    unknown = unk_id(path)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tok = load(path)
+        for pdf in batches:
+            for lang, mine in pdf.groupby("language")["text"]:
+                texts = mine.tolist()
+                ids = [np.array(e.ids, np.int64) for at in range(0, len(texts), 256) for e in tok.encode_batch(texts[at : at + 256], add_special_tokens=False)]
+                every, n = np.unique(np.concatenate([*ids, np.empty(0, np.int64)]), return_counts=True)
+                yield pd.DataFrame({"language": lang, "id": every, "docs": 0, "words": 0, "chars": 0, "tokens": n, "unks": np.where(every == (-1 if unknown is None else unknown), n, 0)})
+                yield pd.DataFrame({"language": [lang], "id": [-1], "docs": [len(texts)], "words": [sum(len(x.split()) for x in texts)], "chars": [sum(map(len, texts))], "tokens": [0], "unks": [0]})
 
-    text = F.col(text_col)
     lang = F.coalesce(F.nullif(F.col(lang_col), F.lit("")), F.lit("unknown"))
-    seen = docs.where(F.length(text) > 0).select(lang.alias("language"), n_words(text).alias("w"), F.length(text).alias("c"), encode_udf(path)(text).alias("ids"))
+    rows = docs.where(F.length(text_col) > 0).select(lang.alias("language"), F.col(text_col).alias("text"))
+    sums = ("docs", "words", "chars", "tokens", "unks")
+    counted = rows.mapInPandas(count, "language string, id long, docs long, words long, chars long, tokens long, unks long")
+    # One row a language and token.
+    counted = materialize(counted.groupBy("language", "id").agg(*[F.sum(c).alias(c) for c in sums]), "tokens")
+    unique = F.countDistinct(F.when(F.col("id") >= 0, F.col("id"))).alias("unique_tokens")
+    out = counted.groupingSets([["language"], []], "language").agg(*[F.sum(c).alias(c) for c in sums], unique)
+    ratio = lambda a, b, n: F.round(F.col(a) / F.greatest(F.col(b), F.lit(1)), n)
     size = vocab_size or load(path).get_vocab_size()
-    tokens = seen.select("language", F.explode("ids").alias("id")).groupBy("language", "id").count()
-    unique = tokens.groupingSets([["language"], []], "language").agg(F.countDistinct("id").alias("unique_tokens"))
-    sums = seen.groupingSets([["language"], []], "language").agg(F.count("*").alias("docs"), F.sum("w").alias("words"), F.sum("c").alias("chars"), F.sum(F.size("ids")).alias("tokens"))
-    out = sums.alias("s").join(unique.alias("u"), F.col("s.language").eqNullSafe(F.col("u.language"))).select("s.*", "unique_tokens")
-    ratio = lambda a, b: F.round(F.col(a) / F.greatest(F.col(b), F.lit(1)), 4)
-    return out.withColumns({"fertility": ratio("tokens", "words"), "compression": ratio("chars", "tokens"), "utilisation": F.round(F.col("unique_tokens") / size, 4)})
+    out = out.withColumns({"fertility": ratio("tokens", "words", 4), "compression": ratio("chars", "tokens", 4), "unk_rate": ratio("unks", "tokens", 6), "utilisation": F.round(F.col("unique_tokens") / size, 4)})
+    return out.withColumn("vocab_coverage", F.round(1 - F.col("unks") / F.greatest("tokens", F.lit(1)), 6)).orderBy(F.col("language").asc_nulls_last())
 
 
 def warnings(fertility: Column, unk_rate: Column, utilisation: Column) -> Column:
@@ -132,10 +163,71 @@ def warnings(fertility: Column, unk_rate: Column, utilisation: Column) -> Column
     return F.filter(F.array(*flags), lambda x: x.isNotNull())
 
 
-def top_tokens(docs: DataFrame, path: str, *, text_col: str = "text", k: int = 20) -> DataFrame:
-    """The k most frequent tokens; ties by id."""
-    ids = docs.select(F.explode(encode_udf(path)(F.col(text_col))).alias("id"))
-    return ids.groupBy("id").count().orderBy(F.desc("count"), "id").limit(k)
+def top_tokens(docs: DataFrame, path: str, *, text_col: str = "text", order_col: str = "doc_id", k: int = 20) -> DataFrame:
+    """id, count of the k most frequent tokens, ties by where they first occur, without the unknown token."""
+    ids = docs.select(F.col(order_col).alias("o"), F.posexplode(encode_udf(path)(F.col(text_col))).alias("pos", "id"))
+    most = ids.groupBy("id").agg(F.count("*").alias("count"), F.min(F.struct("o", "pos")).alias("first")).orderBy(F.desc("count"), "first").limit(k)
+    return most.where(F.col("id") != F.lit(unk_id(path))).drop("first") if unk_id(path) is not None else most.drop("first")
+
+
+def write_token_shards(docs: DataFrame, path: str, folder: str, *, order_col: str = "doc_id", text_col: str = "text", size: int = 256, max_length: int | None = 2048, pad_id: int = 0, min_chars: int = 50) -> dict:
+    """Padded batches of ids as Parquet (input_ids, attention_mask, length = the batch's), batches in folders by
+    range of number; gives the summary shards, total_seqs, total_tokens (pads included), elapsed_s, tokens_per_sec.
+    """
+    began = time.monotonic()
+    kept = batches(docs.where(F.length(text_col) >= min_chars).select(order_col, text_col), order_col=order_col, size=size)
+    ids = kept.select(order_col, "batch_id", encode_udf(path, max_length=max_length)(F.col(text_col)).alias("ids"))
+    rows = pad(materialize(ids, "ids"), pad_id=pad_id)
+    shard = rows.select("batch_id", F.col("input_ids").cast("array<int>"), "attention_mask", F.col("padded_length").cast("int").alias("length"))
+    shard.repartition("batch_id").sortWithinPartitions("batch_id").write.option("compression", "zstd").parquet(folder)
+    done = docs.sparkSession.read.parquet(folder).agg(F.countDistinct("batch_id").alias("b"), F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("t")).first()
+    took = time.monotonic() - began
+    return {"shards": done["b"], "total_seqs": done["n"], "total_tokens": done["t"], "elapsed_s": round(took, 2), "tokens_per_sec": round(done["t"] / max(took, 0.001))}
+
+
+def validation_report(docs: DataFrame, path: str, out: str | None = None, *, sample: int = 5000, order_col: str = "doc_id") -> dict:
+    """Metrics of the first `sample` texts, overall and per language (ascending), top tokens, warnings and the edge
+    cases; written as JSON to the local file `out` if that is given (SNK-7). What is fetched is a row a language."""
+    from ..sources.shards import first_texts
+
+    some = materialize(first_texts(docs, sample, order=(order_col,)), "sample")
+    began = time.monotonic()
+    rows = [r.asDict() for r in metrics(some, path).collect()]
+    if not rows or not rows[-1]["docs"]:
+        raise RuntimeError("no texts to validate on")
+    whole = next(r for r in rows if r["language"] is None)
+    tok = load(path)
+    per = {r["language"]: {k: r[k] for k in ("docs", "fertility", "unk_rate", "vocab_coverage")} for r in rows if r["language"] is not None}
+    flags = docs.sparkSession.range(1).select(warnings(F.lit(whole["fertility"]), F.lit(whole["unk_rate"]), F.lit(whole["utilisation"])).alias("w")).first()["w"]
+    found = {k: v for k, v in whole.items() if k != "language"} | {"vocab_size": tok.get_vocab_size(), "top_20_tokens": [tok.id_to_token(r["id"]) for r in top_tokens(some, path, order_col=order_col).collect()], "per_language": per, "warnings": flags, "elapsed_seconds": round(time.monotonic() - began, 2)}
+    report = {"metrics": found, "edge_cases": [r.asDict() for r in edge_cases(docs.sparkSession, path).collect()]}
+    if out:
+        with open(out, "w", encoding="utf-8") as f:
+            json.dump(report, f, indent=2, ensure_ascii=False)
+    return report
+
+
+def self_test(spark: SparkSession, path: str) -> dict[str, bool]:
+    """Checks of a tokenizer before it is used: load, special tokens, round trip, batches, padding, labels, truncation, lengths (TOK-13)."""
+    own, text = properties(path), "Every tokenizer should give this sentence back."
+    rows = spark.createDataFrame([(0, text), (1, "Two words."), (2, "Short.")], "k int, text string")
+    batch = rows.select("k", "text", F.lit(0).alias("batch_id"), encode_udf(path)("text").alias("ids")).withColumn("back", decode_udf(path)("ids"))
+    got = pad(batch, pad_id=own["pad_id"] or 0).orderBy("k").collect()
+    long = spark.createDataFrame([("internet " * 1000,)], "text string").select(F.size(encode_udf(path, max_length=512)("text"))).first()[0]
+    stats = length_stats(batch.select(F.size("ids").alias("n")), "n").first()
+    return {
+        "vocabulary": own["vocab_size"] > 0,
+        **{name: own[name] is not None for name in ("bos_id", "eos_id", "pad_id", "unk_id")},
+        "encodes": len(got[0]["ids"]) > 0,
+        "round_trip": text.lower() in got[0]["back"].lower(),
+        "input_ids": all(r["input_ids"] for r in got),
+        "attention_mask": all(sum(r["attention_mask"]) == r["length"] for r in got),
+        "batch_size": len(got) == 3,
+        "same_length": len({len(r["input_ids"]) for r in got}) == 1,
+        "truncation": long == 512,
+        "labels": all([x for x in r["labels"] if x != -100] == r["ids"] for r in got),
+        "lengths": stats["mean"] > 0,
+    }
 
 
 def length_stats(lengths: DataFrame, col: str, percentiles: tuple[int, ...] = (50, 75, 90, 95, 99)) -> DataFrame:
@@ -153,10 +245,11 @@ def length_stats(lengths: DataFrame, col: str, percentiles: tuple[int, ...] = (5
 
 
 def edge_cases(spark: SparkSession, path: str) -> DataFrame:
-    """name, input, ids, tokens, n_tokens, roundtrip_ok for the fixed strings."""
+    """name, input, ids, tokens, roundtrip, n_tokens, n_unks, roundtrip_ok for the fixed strings."""
     rows = spark.createDataFrame(EDGE_CASES, "name string, input string")
     out = rows.withColumn("ids", encode_udf(path)("input")).withColumn("tokens", tokenize_udf(path)("input")).withColumn("roundtrip", decode_udf(path)("ids"))
-    return out.withColumn("n_tokens", F.size("ids")).withColumn("roundtrip_ok", F.trim("roundtrip") == F.trim("input"))
+    unks = F.size(F.filter("ids", lambda x: x == F.lit(unk_id(path)))) if unk_id(path) is not None else F.lit(0)
+    return out.withColumn("n_tokens", F.size("ids")).withColumn("n_unks", unks).withColumn("roundtrip_ok", F.trim("roundtrip") == F.trim("input"))
 
 
 def export(path: str, folder: str) -> dict:
@@ -173,6 +266,13 @@ def export(path: str, folder: str) -> dict:
         with open(os.path.join(folder, name), "w", encoding="utf-8") as f:
             f.write(text)
         manifest.append({"name": name, "path": name, "size_bytes": len(text.encode()), "sha256": hashlib.sha256(text.encode()).hexdigest()})
+    # The package that transformer libraries load: the tokenizer itself and its configuration.
+    own = properties(path)
+    package = {"tokenizer_class": "PreTrainedTokenizerFast", "model_max_length": 2048} | {name[:-3] + "_token": load(path).id_to_token(i) for name, i in own.items() if name != "vocab_size" and i is not None}
+    os.makedirs(os.path.join(folder, "huggingface"), exist_ok=True)
+    load(path).save(os.path.join(folder, "huggingface", "tokenizer.json"))
+    with open(os.path.join(folder, "huggingface", "tokenizer_config.json"), "w", encoding="utf-8") as f:
+        json.dump(package, f, indent=2, ensure_ascii=False)
     with open(os.path.join(folder, "manifest.json"), "w", encoding="utf-8") as f:
         json.dump({"files": manifest}, f, indent=2)
     return {"files": manifest}

@@ -1,7 +1,7 @@
 """URL operators (URL-1..13): quick rejection, parsing, validation, normal form, fingerprints.
 
 Predicates that prune are built-in expressions; what needs exact percent-coding is one Arrow UDF on
-the standard library, run on the distinct URLs that are left.
+the standard library, which gets a null for every URL that they reject.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import re
 from urllib.parse import parse_qs, parse_qsl, quote, unquote, urlencode, urljoin, urlsplit
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -109,7 +109,7 @@ def canonical(p: dict, drop_fragment: bool = False) -> str:
     host = f"[{host}]" if ":" in host else host
     port = "" if p["port"] in (None, DEFAULT_PORTS.get(p["scheme"])) else f":{p['port']}"
     path = tidy(remove_dot_segments(p["path"])) or "/"
-    return f"{p['scheme']}://{host}{port}{path}{'?' + p['query'] if p['query'] else ''}{'#' + p['fragment'] if p['fragment'] and not drop_fragment else ''}"
+    return f"{p['scheme']}://{host}{port}{path}{'?' + tidy(p['query']) if p['query'] else ''}{'#' + p['fragment'] if p['fragment'] and not drop_fragment else ''}"
 
 
 def domain_parts(host: str) -> tuple[str, str, str]:
@@ -159,7 +159,8 @@ def resolve(base: pd.Series, href: pd.Series) -> pd.Series:
 
 def canonicalize(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """Adds `parts` (struct), `normalized` (null where rejected or invalid) and `fp`, its SHA-256."""
-    out = urls.withColumn("parts", F.when(~fast_reject(F.trim(F.col(url_col))), url_parts(F.trim(F.col(url_col)))))
+    url = F.trim(F.col(url_col))
+    out = urls.withColumn("parts", url_parts.asNondeterministic()(F.when(~fast_reject(url), url)))
     out = out.withColumn("normalized", F.when(F.size("parts.errors") == 0, F.col("parts.normalized")))
     return out.withColumn("fp", F.sha2("normalized", 256))
 
@@ -175,6 +176,16 @@ def response_filter(pages: DataFrame, *, status: str = "status", content_type: s
     return pages.withColumn("outcome", kind)
 
 
+def failed_urls(pages: DataFrame, **columns: str) -> DataFrame:
+    """Rows for the sink of failed fetches: url and status of every response that isn't 200."""
+    return response_filter(pages, **columns).where("outcome = 'failed'").select("url", F.col(columns.get("status", "status")).cast("int").alias("status"))
+
+
+def paced(urls: DataFrame, *, url_col: str = "url", delay: float = 1.0) -> DataFrame:
+    """Adds `wait`: seconds before a URL may be fetched if its domain is asked once every `delay` seconds, in the order of URLs."""
+    return urls.withColumn("wait", (F.row_number().over(Window.partitionBy(domain(F.col(url_col))).orderBy(url_col)) - 1) * F.lit(delay))
+
+
 def frontier(links: DataFrame, seen: DataFrame | None = None, *, base_col: str = "url", href_col: str = "href") -> DataFrame:
     """New URLs (normalized, fp) among (base, href) pairs: resolved, canonical, distinct and not in `seen` (fp)."""
     found = canonicalize(links.select(resolve(F.col(base_col), F.col(href_col)).alias("link")), "link").where("normalized is not null").select("normalized", "fp").dropDuplicates(["fp"])

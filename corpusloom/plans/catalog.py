@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.chars import WS, re2
 from ..operators import dedup, html, language, quality, tokens, urls
-from ..session import table
+from ..session import spread, table
 from ..sources import shards
 from . import corpus
 
@@ -53,8 +53,13 @@ cleaned AS (SELECT doc_id, source, lang, t FROM firsts WHERE length(t) BETWEEN 5
 _WORDS = rf"len(list_filter(regexp_split_to_array(t, '[{_W}]+'), lambda w: w <> ''))"
 
 
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    """The documents, dealt to all cores where they are few: every query that uses this does much per row."""
+    return spread(table(spark, d, "documents"))
+
+
 def _cleaned(spark: SparkSession, d: str) -> DataFrame:
-    return T.clean(table(spark, d, "documents")).where("clean_text is not null")
+    return T.clean(_documents(spark, d)).where("clean_text is not null")
 
 
 @query(f"WITH {CLEANED} SELECT doc_id, length(t)::BIGINT AS char_count, {_WORDS}::BIGINT AS word_count, greatest(1, length(t) // 4)::BIGINT AS token_estimate FROM cleaned")
@@ -97,7 +102,7 @@ def lang_profiles(spark, d):
 
 @query(f"WITH {_PROFILE} SELECT doc_id, language, best, total FROM detected")
 def lang_detect(spark, d):
-    docs = table(spark, d, "documents")
+    docs = _documents(spark, d)
     return language.detect(docs, language.build_profiles(docs, sample=language.SAMPLE)).withColumnRenamed("id", "doc_id")
 
 
@@ -124,7 +129,7 @@ scored AS (SELECT c.doc_id, c.n_words, coalesce((s1 + s2 + coalesce(s3, 0) + s4
 
 @query(f"WITH {_COUNTS} SELECT * FROM counted")
 def quality_components(spark, d):
-    docs = table(spark, d, "documents").where("text is not null")
+    docs = _documents(spark, d).where("text is not null")
     return docs.select("doc_id", *[c.alias(n) for n, c in quality.counts(F.col("text")).items()])
 
 
@@ -153,7 +158,7 @@ signed AS (SELECT doc_id, {_hashes(128)} FROM shingled GROUP BY doc_id)"""
 
 @query(f"WITH {_SIGNED} SELECT doc_id, sha256(concat_ws(',', {', '.join(f'm{i}' for i in range(128))})) AS signature_hash FROM signed")
 def minhash_signature(spark, d):
-    docs = table(spark, d, "documents").where("text is not null")
+    docs = _documents(spark, d).where("text is not null")
     return docs.select("doc_id", F.sha2(F.concat_ws(",", dedup.signature_udf()(F.col("text")).cast("array<string>")), 256).alias("signature_hash"))
 
 
@@ -175,25 +180,25 @@ def _greedy(rounds: int = 4) -> str:
 
 @query(_greedy())
 def lsh_keep(spark, d):
-    return dedup.lsh_keep(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
+    return dedup.lsh_keep(_documents(spark, d)).withColumnRenamed("id", "doc_id")
 
 
 @query()
 def flagship_corpus(spark, d):
-    docs = table(spark, d, "documents")
+    docs = _documents(spark, d)
     judged = corpus.judge(docs, language.build_profiles(docs))
     return corpus.kept(judged).select("doc_id", "language", "lang_confidence", "quality_score", *T.counters(F.col("clean_text")), F.sha2("clean_text", 256).alias("content_hash"))
 
 
 @query()
 def pipeline_funnel(spark, d):
-    docs = table(spark, d, "documents")
+    docs = _documents(spark, d)
     return corpus.funnel(corpus.judge(docs, language.build_profiles(docs)))
 
 
 @query()
 def pipeline_funnel_worker(spark, d):
-    docs = table(spark, d, "documents")
+    docs = _documents(spark, d)
     return corpus.funnel(corpus.judge(docs, language.build_profiles(docs), corpus.CorpusConfig.worker()))
 
 
@@ -228,7 +233,7 @@ def domain_counts(spark, d):
 
 @query()
 def frontier_links(spark, d):
-    return urls.frontier(html.page_links(table(spark, d, "pages")))
+    return urls.frontier(html.page_links(spread(table(spark, d, "pages"))))
 
 
 @query()
@@ -238,7 +243,7 @@ def page_links(spark, d):
 
 @query()
 def page_extract(spark, d):
-    return html.extract_pages(table(spark, d, "pages")).select("page_id", "url", "title", "text")
+    return html.extract_pages(spread(table(spark, d, "pages"))).select("page_id", "url", "title", "text")
 
 
 _STATS = "count(*)::BIGINT AS docs, sum(length(text))::BIGINT AS chars, sum(greatest(1, length(text) // 4))::BIGINT AS tokens"
@@ -253,7 +258,7 @@ def corpus_stats_by_source(spark, d):
 @query(f"SELECT lang, {_STATS} FROM documents WHERE text IS NOT NULL GROUP BY GROUPING SETS ((lang), ())")
 def corpus_stats_rollup(spark, d):
     docs = table(spark, d, "documents").where("text is not null").select("lang", *T.counters(F.col("text")))
-    return docs.groupingSets([["lang"], []], "lang").agg(F.count("*").alias("docs"), F.sum("char_count").alias("chars"), F.sum("token_estimate").alias("tokens"))
+    return shards.corpus_rollup(docs, "lang")
 
 
 @query("SELECT count(*)::BIGINT AS n FROM documents WHERE n_chars BETWEEN 100 AND 10000")
@@ -278,23 +283,23 @@ def conversation_chars(spark, d):
 
 @query(rf"SELECT word, count(*)::BIGINT AS n FROM (SELECT unnest(list_filter(regexp_split_to_array(text, '[{_W}]+'), lambda w: w <> '')) AS word FROM documents) GROUP BY word ORDER BY n DESC, word LIMIT 20")
 def top_words(spark, d):
-    words = table(spark, d, "documents").select(F.explode(F.filter(F.split("text", f"[{WS}]+"), lambda w: w != "")).alias("word"))
+    words = _documents(spark, d).select(F.explode(F.filter(F.split("text", f"[{WS}]+"), lambda w: w != "")).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(20)
 
 
 @query()
 def token_metrics(spark, d):
-    return tokens.metrics(table(spark, d, "documents"), tokens.default_path())
+    return tokens.metrics(_documents(spark, d), tokens.default_path())
 
 
 @query()
 def token_top(spark, d):
-    return tokens.top_tokens(table(spark, d, "documents"), tokens.default_path())
+    return tokens.top_tokens(_documents(spark, d), tokens.default_path())
 
 
 @query()
 def token_lengths(spark, d):
-    docs = table(spark, d, "documents").select(F.size(tokens.encode_udf(tokens.default_path())(F.col("text"))).alias("length"))
+    docs = _documents(spark, d).select(F.size(tokens.encode_udf(tokens.default_path())(F.col("text"))).alias("length"))
     return tokens.length_stats(docs, "length")
 
 
@@ -324,4 +329,4 @@ def lm_labels(spark, d):
 @query("SELECT u, min(event_id) AS first_event FROM (SELECT event_id, sha256(user_id::VARCHAR) AS u FROM events) GROUP BY u")
 def seen_set(spark, d):
     events = table(spark, d, "events").select("event_id", F.sha2(F.col("user_id").cast("string"), 256).alias("u"))
-    return events.withColumn("n", F.row_number().over(Window.partitionBy("u").orderBy("event_id"))).where("n = 1").select("u", F.col("event_id").alias("first_event"))
+    return dedup.drop_seen(events, key="u", order_col="event_id").select("u", F.col("event_id").alias("first_event"))

@@ -12,9 +12,11 @@ _kept: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where that is unset (as in tests) one of our own."""
+    """The folder named by spark.checkpoint.dir; only in local mode, where that may be unset (as in tests), one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found

@@ -47,6 +47,16 @@ def read_with_metadata(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("text", F.map_concat(F.map_filter(parsed, lambda k, v: ~k.isin("source", "language", "quality_score")), own).alias("metadata"))
 
 
+def first_texts(docs: DataFrame, n: int, *, order: tuple[str, ...] = ("doc_id",), text_col: str = "text", min_chars: int = 50) -> DataFrame:
+    """The first `n` rows in shard order (`order`) whose text has at least `min_chars` characters (AGG-11, LIM-1)."""
+    return docs.where(F.length(text_col) >= min_chars).orderBy(*order).limit(n)
+
+
+def corpus_rollup(docs: DataFrame, by: str) -> DataFrame:
+    """docs, chars and tokens per value of `by`, and over all (`by` null) (AGG-4)."""
+    return docs.groupingSets([[by], []], by).agg(F.count("*").alias("docs"), F.sum("char_count").alias("chars"), F.sum("token_estimate").alias("tokens"))
+
+
 def shard_order(spark: SparkSession, folder: str, *, seed: int | None = None) -> DataFrame:
     """Shard files by name, or in a seeded order."""
     files = read_shards(spark, folder).select(F.input_file_name().alias("file")).distinct()
@@ -80,7 +90,7 @@ def parse_messages(lines: DataFrame, *, required: str = "text", value_col: str =
 
 def dead_letters(parsed: DataFrame, value_col: str = "value") -> DataFrame:
     """Rows for the dead-letter sink; raw payloads are cut at 2,000 characters."""
-    return parsed.where("reason is not null").select("reason", F.unix_micros(F.current_timestamp()).cast("double").alias("timestamp"), F.substring(value_col, 1, 2000).alias("raw"), F.col("m.url").alias("url"))
+    return parsed.where("reason is not null").select("reason", (F.unix_micros(F.current_timestamp()) / 1e6).alias("timestamp"), F.substring(value_col, 1, 2000).alias("raw"), F.col("m.url").alias("url"))
 
 
 def message_documents(parsed: DataFrame) -> DataFrame:

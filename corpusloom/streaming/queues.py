@@ -1,19 +1,17 @@
-"""Queues as Structured Streaming: directories of JSON lines in, tables out (SRC-1..4, of STR-1..11 and SNK-4..6).
-
-Left out: the rate limit per domain (STR-6), counters of popped, valid, skipped and pushed messages
-(STR-8), the progress log (STR-10), the sink of failed URLs (SNK-6), and the dead letter
-extractor_exception (SNK-5): a page on which the extractor raises fails its batch.
+"""Queues as Structured Streaming: directories of JSON lines in, tables out (SRC-1..4, STR-1..11, SNK-4..6).
 
 An available-now trigger ends a run when the queue is drained (idle shutdown), maxFilesPerTrigger is
 the backpressure, and the checkpoint makes every message count once, which a reliable queue
-approximates.
+approximates. A query stops after the batch it is in (`stop_gracefully`); `Progress` keeps its counts and rate.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators import html, urls
 from ..sources import shards
@@ -41,23 +39,66 @@ def extract_pages(spark: SparkSession, queue: str, out: str, dead: str, checkpoi
 
     def batch(rows: DataFrame, number: int) -> None:
         parsed = shards.parse_messages(rows, required="html").persist()
-        good = html.extract_pages(parsed.where("reason is null").select("m.url", "m.html"))
-        good.select("url", "title", "text").write.mode("overwrite").json(f"{out}/batch={number}")
-        shards.dead_letters(parsed).write.mode("overwrite").json(f"{dead}/batch={number}")
+        tried = html.try_extract(parsed.where("reason is null").select("m.url", "m.html")).persist()
+        tried.where("text is not null").select("url", "title", "text").write.mode("overwrite").json(f"{out}/batch={number}")
+        broken = tried.where("failed").select(F.lit("extractor_exception").alias("reason"), (F.unix_micros(F.current_timestamp()) / 1e6).alias("timestamp"), F.lit(None).cast("string").alias("raw"), "url")
+        shards.dead_letters(parsed).unionByName(broken).write.mode("overwrite").json(f"{dead}/batch={number}")
+        tried.unpersist()
         parsed.unpersist()
 
     return lines(spark, queue, files_per_trigger=files_per_trigger).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def generate_frontier(spark: SparkSession, queue: str, seen: str, checkpoint: str, *, files_per_trigger: int = 500) -> StreamingQuery:
-    """seeds_urls_queue (a URL a line) -> the table `seen` (normalized, fp) of distinct valid URLs, over all batches."""
+class Progress(StreamingQueryListener):
+    """Batches, rows and rows a second of every query of a session, by the query's id; register with spark.streams.addListener (STR-10, AGG-12)."""
+
+    def __init__(self):
+        self.seen: dict[str, dict] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.seen[str(event.id)] = {"batches": 0, "rows": 0, "rows_per_second": 0.0, "ended": False}
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        mine = self.seen.setdefault(str(p.id), {"batches": 0, "rows": 0, "rows_per_second": 0.0, "ended": False})
+        mine["batches"] += 1
+        mine["rows"] += p.numInputRows
+        mine["rows_per_second"] = p.processedRowsPerSecond
+
+    def onQueryIdle(self, event) -> None:
+        return
+
+    def onQueryTerminated(self, event) -> None:
+        self.seen.setdefault(str(event.id), {})["ended"] = True
+
+
+def stop_gracefully(query: StreamingQuery, wait: float = 0.2) -> None:
+    """Ends a query between two batches, so that none is cut off (STR-2)."""
+    while query.isActive and query.status["isTriggerActive"]:
+        time.sleep(wait)
+    query.stop()
+
+
+def generate_frontier(spark: SparkSession, queue: str, seen: str, checkpoint: str, *, files_per_trigger: int = 500, counters: list | None = None) -> StreamingQuery:
+    """seeds_urls_queue (a URL a line) -> the table `seen` (normalized, fp) of distinct valid URLs, over all batches.
+
+    `seen` lies in folders by the first two digits of fp, so that a batch reads those that its own URLs fall into.
+    `counters` gets a dict of popped, valid, skipped and pushed per batch (STR-8).
+    """
 
     def batch(rows: DataFrame, number: int) -> None:
-        new = urls.canonicalize(rows.select(F.col("value").alias("url"))).where("normalized is not null").select("normalized", "fp").dropDuplicates(["fp"])
-        schema = "normalized string, fp string, batch long"
-        before = spark.read.schema(schema).option("basePath", seen).parquet(seen).where(F.col("batch") != number) if number else None
-        if before is not None:
-            new = new.join(before.select("fp"), "fp", "left_anti").select("normalized", "fp")
-        new.write.mode("overwrite").parquet(f"{seen}/batch={number}")
+        found = urls.canonicalize(rows.select(F.col("value").alias("url"))).select("normalized", "fp").persist()
+        new = found.where("normalized is not null").dropDuplicates(["fp"]).withColumn("bucket", F.substring("fp", 1, 2))
+        if number:
+            schema = "normalized string, fp string, bucket string, batch long"
+            buckets = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most 256
+            before = spark.read.schema(schema).option("basePath", seen).parquet(seen).where(F.col("bucket").isin(buckets) & (F.col("batch") != number))
+            new = new.join(before.select("fp"), "fp", "left_anti").select("normalized", "fp", "bucket")
+        new.write.mode("overwrite").partitionBy("bucket").parquet(f"{seen}/batch={number}")
+        if counters is not None:
+            n, valid = found.agg(F.count("*"), F.count("normalized")).first()
+            pushed = spark.read.schema("normalized string, fp string, bucket string").parquet(f"{seen}/batch={number}").count() if valid else 0
+            counters.append({"popped": n, "valid": valid, "skipped": n - pushed, "pushed": pushed})
+        found.unpersist()
 
     return lines(spark, queue, files_per_trigger=files_per_trigger).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -55,23 +56,24 @@ def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "
     Trigrams are counted per Arrow batch first, so that only distinct ones are shuffled.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for lang, mine in pdf.groupby("lang")["text"]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lang in sorted(set(langs)):
                 lows, held, parts = [], 0, []
-                for text in mine:
-                    lows.append((text or "").lower())
+                for x in (t for t, own in zip(texts, langs, strict=True) if own == lang and t):
+                    lows.append(x.lower())
                     held += len(lows[-1])
                     if held > 2_000_000:
                         parts.append(np.unique(grams(lows)[0], return_counts=True))
                         lows, held = [], 0
                 parts.append(np.unique(grams(lows)[0], return_counts=True))
                 for keys, n in parts:
-                    yield pd.DataFrame({"lang": lang, "gram": [_spelled(k) for k in keys.tolist()], "n": n})
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array([_spelled(k) for k in keys.tolist()], pa.string()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
 
     text = F.col(text_col) if sample is None else F.substring(text_col, 1, sample)
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text.alias("text"))
-    counts = rows.mapInPandas(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")) - 1
     return counts.withColumn("rank", rank).where(F.col("rank") < n).select("lang", "rank", "gram")
 

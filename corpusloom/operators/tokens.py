@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -134,20 +135,24 @@ def metrics(docs: DataFrame, path: str, *, text_col: str = "text", lang_col: str
     """
     unknown = unk_id(path)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = load(path)
-        for pdf in batches:
-            for lang, mine in pdf.groupby("language")["text"]:
-                texts = mine.tolist()
+        names = ["language", "id", *sums]
+        for batch in batches:
+            langs, every = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for lang in sorted(set(langs)):
+                texts = [t for t, own in zip(every, langs, strict=True) if own == lang]
                 ids = [np.array(e.ids, np.int64) for at in range(0, len(texts), 256) for e in tok.encode_batch(texts[at : at + 256], add_special_tokens=False)]
-                every, n = np.unique(np.concatenate([*ids, np.empty(0, np.int64)]), return_counts=True)
-                yield pd.DataFrame({"language": lang, "id": every, "docs": 0, "words": 0, "chars": 0, "tokens": n, "unks": np.where(every == (-1 if unknown is None else unknown), n, 0)})
-                yield pd.DataFrame({"language": [lang], "id": [-1], "docs": [len(texts)], "words": [sum(len(x.split()) for x in texts)], "chars": [sum(map(len, texts))], "tokens": [0], "unks": [0]})
+                found, n = np.unique(np.concatenate(ids), return_counts=True)
+                none = np.zeros(len(n), np.int64)
+                rows = [found, none, none, none, n, np.where(found == (-1 if unknown is None else unknown), n, 0)]
+                whole = [-1, len(texts), sum(len(x.split()) for x in texts), sum(map(len, texts)), 0, 0]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(n) + 1), pa.string()), *(pa.array(np.append(c, x), pa.int64()) for c, x in zip(rows, whole, strict=True))], names=names)
 
+    sums = ("docs", "words", "chars", "tokens", "unks")
     lang = F.coalesce(F.nullif(F.col(lang_col), F.lit("")), F.lit("unknown"))
     rows = docs.where(F.length(text_col) > 0).select(lang.alias("language"), F.col(text_col).alias("text"))
-    sums = ("docs", "words", "chars", "tokens", "unks")
-    counted = rows.mapInPandas(count, "language string, id long, docs long, words long, chars long, tokens long, unks long")
+    counted = rows.mapInArrow(count, "language string, id long, docs long, words long, chars long, tokens long, unks long")
     # One row a language and token.
     counted = materialize(counted.groupBy("language", "id").agg(*[F.sum(c).alias(c) for c in sums]), "tokens")
     unique = F.countDistinct(F.when(F.col("id") >= 0, F.col("id"))).alias("unique_tokens")

@@ -84,14 +84,19 @@ def doc_metadata(spark, d):
     return _cleaned(spark, d).select("doc_id", *T.document_measures(F.col("clean_text")))
 
 
-_PROFILE = f"""
-sample AS (SELECT doc_id, lang, string_split(lower(left(text, {language.SAMPLE})), '') AS c FROM documents WHERE text IS NOT NULL),
-grams AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: {{'pos': i, 'gram': c[i] || c[i + 1] || c[i + 2]}}), recursive := true) FROM sample WHERE len(c) >= 3),
-counted AS (SELECT lang, gram, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY lang, gram),
-profiles AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) - 1 AS rank FROM counted QUALIFY rank < {language.PROFILE}),
+def _profiled(counted: str, scored: str) -> str:
+    """CTEs up to `detected`: profiles from the texts of `counted` (doc_id, lang, text), by which those of `scored` are detected."""
+    gram = "unnest(list_transform(range(1, len(c) - 1), lambda i: {'pos': i, 'gram': c[i] || c[i + 1] || c[i + 2]}), recursive := true)"
+    return f"""
+learned AS (SELECT lang, {gram} FROM (SELECT lang, string_split(lower(text), '') AS c FROM ({counted}) WHERE text IS NOT NULL AND lang IS NOT NULL) WHERE len(c) >= 3),
+profiles AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) - 1 AS rank FROM (SELECT lang, gram, count(*) AS n FROM learned GROUP BY lang, gram) QUALIFY rank < {language.PROFILE}),
+grams AS (SELECT doc_id, {gram} FROM (SELECT doc_id, string_split(lower(left(text, {language.SAMPLE})), '') AS c FROM ({scored}) WHERE text IS NOT NULL) WHERE len(c) >= 3),
 scores AS (SELECT g.doc_id, p.lang, sum({language.PROFILE} - p.rank)::BIGINT AS score, min(g.pos) AS first FROM grams g JOIN profiles p USING (gram) GROUP BY g.doc_id, p.lang),
 best AS (SELECT doc_id, lang, score, sum(score) OVER (PARTITION BY doc_id) AS total FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, first, lang) = 1),
-detected AS (SELECT d.doc_id, d.lang, coalesce(b.lang, 'unknown') AS language, coalesce(b.score, 0)::BIGINT AS best, coalesce(b.total, 0)::BIGINT AS total FROM documents d LEFT JOIN best b USING (doc_id))"""
+detected AS (SELECT d.doc_id, d.lang, coalesce(b.lang, 'unknown') AS language, coalesce(b.score, 0)::BIGINT AS best, coalesce(b.total, 0)::BIGINT AS total FROM ({scored}) d LEFT JOIN best b USING (doc_id))"""
+
+
+_PROFILE = _profiled(f"SELECT lang, left(text, {language.SAMPLE}) AS text FROM documents", "SELECT doc_id, lang, text FROM documents")
 
 
 @query(f"WITH {_PROFILE} SELECT lang, rank::INTEGER AS rank, gram FROM profiles")
@@ -112,12 +117,16 @@ def lang_confusion(spark, d):
 
 
 _LINES = f"list_filter(regexp_split_to_array(text, '\\r\\n|[\\n\\x0b\\x0c\\r\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]'), lambda x: regexp_matches(x, '[^{_W}]'))"
-_COUNTS = rf"""
+def _counted(rows: str) -> str:
+    return rf"""
 counted AS (
   SELECT doc_id, length(text)::BIGINT AS n_chars, len(w)::BIGINT AS n_words, len(regexp_extract_all(text, '\p{{L}}'))::BIGINT AS n_alpha, len(regexp_extract_all(text, '\p{{Lu}}'))::BIGINT AS n_upper,
     len(regexp_extract_all(text, '\p{{Nd}}'))::BIGINT AS n_digits, len(regexp_extract_all(text, '[{_W}]'))::BIGINT AS n_space, len(list_distinct(list_transform(w, lambda x: lower(x))))::BIGINT AS n_unique,
     len(l)::BIGINT AS n_lines, len(list_filter(l, lambda x: regexp_matches(x, '^[{_W}]*[-•*·▪▸►◦‣⁃][{_W}]')))::BIGINT AS n_bullets
-  FROM (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[{_W}]+'), lambda w: w <> '') AS w, {_LINES} AS l FROM documents WHERE text IS NOT NULL))"""
+  FROM (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '[{_W}]+'), lambda w: w <> '') AS w, {_LINES} AS l FROM {rows} WHERE text IS NOT NULL))"""
+
+
+_COUNTS = _counted("documents")
 _SCORE = """
 parts AS (
   SELECT *, 1 - least((n_chars - n_alpha - n_digits - n_space) / n_chars / 0.15::DOUBLE, 1) * 0.5 AS s1, 1 - least(n_digits / n_chars / 0.30::DOUBLE, 1) * 0.5 AS s2,
@@ -149,13 +158,17 @@ def _hashes(n: int) -> str:
     return ", ".join(f"min(({x}::UBIGINT * h + {y}) & 4294967295) AS m{i}" for i, (x, y) in enumerate(zip(a, b, strict=True)))
 
 
-_SIGNED = f"""
+def _signed(rows: str) -> str:
+    return f"""
 shingled AS (
   SELECT DISTINCT doc_id, ('0x' || left(md5(substring(t, i, 5)), 8))::UBIGINT AS h
-  FROM (SELECT doc_id, lower(text) AS t, unnest(range(1, greatest(1, length(text) - 4) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
+  FROM (SELECT doc_id, lower(text) AS t, unnest(range(1, greatest(1, length(text) - 4) + 1)) AS i FROM {rows} WHERE text IS NOT NULL)),
 signed AS (SELECT doc_id, {_hashes(128)} FROM shingled GROUP BY doc_id)"""
 
 
+_SIGNED = _signed("documents")
+
+
 @query(f"WITH {_SIGNED} SELECT doc_id, sha256(concat_ws(',', {', '.join(f'm{i}' for i in range(128))})) AS signature_hash FROM signed")
 def minhash_signature(spark, d):
     docs = _documents(spark, d).where("text is not null")
@@ -166,16 +179,20 @@ def _bands() -> str:
     return " UNION ALL ".join(f"SELECT doc_id, '{i}:' || concat_ws(',', {', '.join(f'm{j}' for j in range(8 * i, 8 * i + 8))}) AS bucket FROM signed" for i in range(16))
 
 
-def _greedy(rounds: int = 4) -> str:
-    """The fixpoint of dedup.lsh_keep, unrolled."""
-    out = [f"WITH {_SIGNED}, member AS MATERIALIZED ({_bands()}), d0 AS (SELECT NULL::BIGINT AS doc_id WHERE false), k0 AS (SELECT NULL::BIGINT AS doc_id WHERE false)"]
+def _greedy_ctes(signed: str, rounds: int = 4) -> str:
+    """The fixpoint of dedup.lsh_keep, unrolled: d{rounds} has the documents that go."""
+    out = [f"{signed}, member AS MATERIALIZED ({_bands()}), d0 AS (SELECT NULL::BIGINT AS doc_id WHERE false), k0 AS (SELECT NULL::BIGINT AS doc_id WHERE false)"]
     for r in range(1, rounds + 1):
         p = r - 1
         out.append(f"o{r} AS MATERIALIZED (SELECT * FROM member WHERE doc_id NOT IN (SELECT doc_id FROM d{p}))")
         out.append(f"f{r} AS (SELECT doc_id, doc_id = min(doc_id) OVER (PARTITION BY bucket) AS is_least FROM o{r})")
         out.append(f"k{r} AS MATERIALIZED (SELECT doc_id FROM f{r} GROUP BY doc_id HAVING bool_and(is_least))")
         out.append(f"d{r} AS MATERIALIZED (SELECT doc_id FROM d{p} UNION SELECT doc_id FROM o{r} WHERE doc_id NOT IN (SELECT doc_id FROM k{r}) AND bucket IN (SELECT bucket FROM o{r} WHERE doc_id IN (SELECT doc_id FROM k{r})))")
-    return ", ".join(out) + f" SELECT doc_id, doc_id NOT IN (SELECT doc_id FROM d{rounds}) AS kept FROM signed"
+    return ", ".join(out)
+
+
+def _greedy() -> str:
+    return f"WITH {_greedy_ctes(_SIGNED)} SELECT doc_id, doc_id NOT IN (SELECT doc_id FROM d4) AS kept FROM signed"
 
 
 @query(_greedy())
@@ -183,20 +200,38 @@ def lsh_keep(spark, d):
     return dedup.lsh_keep(_documents(spark, d)).withColumnRenamed("id", "doc_id")
 
 
-@query()
+def _judged(min_chars: int, min_score: float, min_words: int, min_confidence: float) -> str:
+    """CTEs up to `judged` (doc_id, stage, ...): the corpus pipeline by the SQL of its stages."""
+    gated = CLEANED.replace("BETWEEN 50", f"BETWEEN {min_chars}")
+    return f"""{gated}, clean AS MATERIALIZED (SELECT doc_id, lang, t AS text FROM cleaned), {_profiled("SELECT lang, text FROM documents", "SELECT doc_id, lang, text FROM clean")}, {_counted("clean")}, {_SCORE},
+staged AS MATERIALIZED (
+  SELECT c.doc_id, c.text, d.language, round(d.best / nullif(d.total, 0), 4) AS confidence, round(s.score, 4) AS quality,
+    CASE WHEN coalesce(round(d.best / nullif(d.total, 0), 4), 0) < {min_confidence} THEN 2 WHEN s.n_words < {min_words} OR round(s.score, 4) < {min_score} THEN 3 ELSE 4 END AS stage
+  FROM clean c JOIN detected d USING (doc_id) JOIN scored s USING (doc_id)),
+{_greedy_ctes(_signed("(SELECT * FROM staged WHERE stage = 4)"))},
+judged AS (SELECT d.doc_id, s.text, s.language, s.confidence, s.quality, CASE WHEN s.doc_id IS NULL THEN 1 WHEN s.stage = 4 AND s.doc_id NOT IN (SELECT doc_id FROM d4) THEN 5 ELSE s.stage END AS stage FROM documents d LEFT JOIN staged s USING (doc_id))"""
+
+
+_FUNNEL = ", ".join(f"count(*) FILTER (stage >= {i})::BIGINT AS {n}" for i, n in enumerate(corpus.STAGES, 1))
+_LIBRARY, _WORKER = _judged(50, 0.5, 20, 0.1), _judged(30, 0.4, 10, 0.05)
+
+
+@query(f"""WITH {_LIBRARY} SELECT doc_id, language, floor(confidence * 1000 + 0.5)::BIGINT AS confidence_millis, floor(quality * 1000 + 0.5)::BIGINT AS score_millis, length(text)::BIGINT AS char_count,
+  {_WORDS.replace("(t,", "(text,")}::BIGINT AS word_count, greatest(1, length(text) // 4)::BIGINT AS token_estimate, sha256(text) AS content_hash FROM judged WHERE stage = 5""")
 def flagship_corpus(spark, d):
     docs = _documents(spark, d)
     judged = corpus.judge(docs, language.build_profiles(docs))
-    return corpus.kept(judged).select("doc_id", "language", "lang_confidence", "quality_score", *T.counters(F.col("clean_text")), F.sha2("clean_text", 256).alias("content_hash"))
+    millis = lambda c, name: F.floor(F.col(c) * 1000 + 0.5).alias(name)
+    return corpus.kept(judged).select("doc_id", "language", millis("lang_confidence", "confidence_millis"), millis("quality_score", "score_millis"), *T.counters(F.col("clean_text")), F.sha2("clean_text", 256).alias("content_hash"))
 
 
-@query()
+@query(f"WITH {_LIBRARY} SELECT {_FUNNEL} FROM judged")
 def pipeline_funnel(spark, d):
     docs = _documents(spark, d)
     return corpus.funnel(corpus.judge(docs, language.build_profiles(docs)))
 
 
-@query()
+@query(f"WITH {_WORKER} SELECT {_FUNNEL} FROM judged")
 def pipeline_funnel_worker(spark, d):
     docs = _documents(spark, d)
     return corpus.funnel(corpus.judge(docs, language.build_profiles(docs), corpus.CorpusConfig.worker()))
@@ -231,12 +266,24 @@ def domain_counts(spark, d):
     return table(spark, d, "pages").groupBy(urls.domain(F.col("url")).alias("domain")).agg(F.count("*").alias("n"))
 
 
-@query()
+_LINKS = r"""
+bare AS (SELECT url, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<(script|style)\b.*?</(script|style)\s*>', '', 'gis') AS h FROM pages WHERE html IS NOT NULL),
+links AS (SELECT url, unnest(regexp_extract_all(h, '<a\s[^>]*?href="([^"]+)"', 1, 'i')) AS href, generate_subscripts(regexp_extract_all(h, '<a\s[^>]*?href="([^"]+)"', 1, 'i'), 1) - 1 AS pos FROM bare)"""
+
+
+# Percent-coding of all but what a path may hold as it is.
+_QUOTED = "url_encode({})"
+for _c in "/:@!$&'()*+,;=%":
+    _QUOTED = f"replace({_QUOTED}, '%{ord(_c):02X}', '{_c.replace(chr(39), chr(39) * 2)}')"
+
+
+@query(f"""WITH {_LINKS}, full_links AS (SELECT DISTINCT regexp_extract(url, '^(https?)://', 1) || '://' || lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) || CASE WHEN href = '/' THEN '/' ELSE {_QUOTED.format("regexp_replace(href, '/+$', '')")} END AS normalized FROM links WHERE href LIKE '/%')
+SELECT normalized, sha256(normalized) AS fp FROM full_links""")
 def frontier_links(spark, d):
     return urls.frontier(html.page_links(spread(table(spark, d, "pages"))))
 
 
-@query()
+@query(f"WITH {_LINKS} SELECT url, pos::INTEGER AS pos, href FROM links")
 def page_links(spark, d):
     return html.page_links(table(spark, d, "pages"))
 

@@ -208,3 +208,101 @@ def test_html_stream(spark, tmp_path, sf):
     spark.read.parquet(f"{sf}/pages.parquet").select("url", "html").coalesce(1).write.json(str(queue))
     queues.extract_pages(spark, str(queue), str(tmp_path / "o"), str(tmp_path / "d"), str(tmp_path / "c")).awaitTermination()
     assert spark.read.json(str(tmp_path / "o")).count() == 45
+
+
+def test_clean_runs_once(spark, sf):
+    """A filter on the cleaned text doesn't clean again."""
+    df = T.clean(spark.read.parquet(f"{sf}/documents.parquet")).where("clean_text is not null").select("doc_id", *T.counters(F.col("clean_text")))
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_md5_prefixes():
+    import hashlib
+    import random
+
+    import numpy as np
+
+    rng = random.Random(0)
+    words = ["".join(rng.choices("aé😀z日 \n", k=5)) for _ in range(200)]
+    codes = np.array([[ord(c) for c in w] for w in words], np.uint32)
+    want = [int.from_bytes(hashlib.md5(w.encode()).digest()[:4], "big") for w in words]
+    assert dedup.md5_prefixes(dedup._blocks(codes)).tolist() == want
+
+
+def test_exact_keep_and_drop_seen(spark):
+    df = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (4, None), (5, "b")], "doc_id long, text string")
+    assert {r["doc_id"] for r in dedup.exact_keep(df).where("is_first").collect()} == {1, 2, 5}
+    new = spark.createDataFrame([("x", 2), ("x", 1), ("y", 3), ("z", 4)], "fp string, n long")
+    done = spark.createDataFrame([("y",)], "fp string")
+    assert sorted(map(tuple, dedup.drop_seen(new, done, order_col="n").collect())) == [("x", 1), ("z", 4)]
+
+
+def test_canonical_query_and_paragraph_gate():
+    assert urls.canonical(urls.parse("http://a.org/?q=%7Ex y")) == "http://a.org/?q=~x%20y"
+    short = "x" * 38 + " •"  # 40 characters before cleaning
+    body = "This paragraph has a good number of characters, more than forty and more than eighty of them in all."
+    assert short[:38] in html.extract(PAGE.format(body) + f"<p>{short}</p>")[1]
+
+
+def test_failed_and_paced_urls(spark):
+    pages = spark.createDataFrame([("u", 404, "text/html", 1), ("v", 200, "text/html", 1), ("w", 200, "image/png", 1)], "url string, status int, content_type string, content_length long")
+    assert [tuple(r) for r in urls.failed_urls(pages).collect()] == [("u", 404)]
+    got = urls.paced(spark.createDataFrame([("http://a.org/2",), ("http://a.org/1",), ("http://b.org/",)], "url string"), delay=2.0)
+    assert {r["url"]: r["wait"] for r in got.collect()} == {"http://a.org/1": 0.0, "http://a.org/2": 2.0, "http://b.org/": 0.0}
+
+
+def test_token_metrics_by_hand(spark):
+    texts = [("the cat sat", "en"), ("le chat", "fr"), ("the dog", "en"), (None, "en"), ("", "en"), ("x", None)]
+    df = spark.createDataFrame([(i, t, x) for i, (t, x) in enumerate(texts)], "doc_id long, text string, lang string")
+    tok = tokens.load(tokens.default_path())
+    rows = tokens.metrics(df, tokens.default_path()).collect()
+    assert [r["language"] for r in rows] == ["en", "fr", "unknown", None]
+    every = [i for t, _ in texts if t for i in tok.encode(t, add_special_tokens=False).ids]
+    whole = rows[-1]
+    assert (whole["docs"], whole["words"], whole["tokens"], whole["unique_tokens"]) == (4, 8, len(every), len(set(every)))
+    assert whole["unk_rate"] == 0 and whole["vocab_coverage"] == 1 and rows[0]["docs"] == 2
+    counts = {i: every.count(i) for i in every}
+    want = sorted(counts, key=lambda i: (-counts[i], every.index(i)))[:3]
+    assert [r["id"] for r in tokens.top_tokens(df, tokens.default_path(), k=3).collect()] == want
+
+
+def test_token_shards_report_and_self_test(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 40")
+    done = tokens.write_token_shards(docs, tokens.default_path(), str(tmp_path / "t"), size=16)
+    rows = spark.read.parquet(str(tmp_path / "t")).collect()
+    assert done["total_seqs"] == len(rows) and done["total_tokens"] == sum(len(r["input_ids"]) for r in rows) and done["shards"] == len({r["batch_id"] for r in rows})
+    assert all(len(r["input_ids"]) == len(r["attention_mask"]) == r["length"] <= 2048 for r in rows)
+    report = tokens.validation_report(docs, tokens.default_path(), str(tmp_path / "r.json"), sample=20)
+    assert json.loads((tmp_path / "r.json").read_text())["metrics"]["docs"] == report["metrics"]["docs"] == 20
+    assert list(report["metrics"]["per_language"]) == sorted(report["metrics"]["per_language"]) and len(report["edge_cases"]) == 14
+    checks = tokens.self_test(spark, tokens.default_path())
+    assert not [k for k, ok in checks.items() if not ok and k not in ("pad_id", "unk_id")]  # this vocabulary has neither
+    assert tokens.properties(tokens.default_path())["eos_id"] == 50256
+
+
+def test_stream_failures_counters_and_progress(spark, tmp_path, monkeypatch):
+    queue = tmp_path / "q"
+    queue.mkdir()
+    (queue / "1").write_text("https://a.org\nhttps://a.org/#x\nnot a url\n")
+    seen: list = []
+    progress = queues.Progress()
+    spark.streams.addListener(progress)
+    query = queues.generate_frontier(spark, str(queue), str(tmp_path / "s"), str(tmp_path / "c"), counters=seen)
+    query.awaitTermination()
+    assert seen == [{"popped": 3, "valid": 2, "skipped": 2, "pushed": 1}]
+    for _ in range(50):
+        if progress.seen.get(str(query.id), {}).get("rows"):
+            break
+        import time
+
+        time.sleep(0.1)
+    assert progress.seen[str(query.id)]["rows"] == 3
+    spark.streams.removeListener(progress)
+    pages = spark.createDataFrame([("u", None), ("v", "<p>x")], "url string, html string")
+    assert [(r["url"], r["failed"]) for r in html.try_extract(pages).collect()] == [("u", False), ("v", False)]
+
+
+def test_rollup_and_first_texts(spark):
+    df = spark.createDataFrame([(2, "x" * 60, "a", 60, 15), (1, "y" * 50, "b", 50, 12), (3, "z" * 49, "a", 49, 12)], "doc_id long, text string, lang string, char_count long, token_estimate long")
+    assert [r["doc_id"] for r in shards.first_texts(df, 2).collect()] == [1, 2]
+    assert {r["lang"]: r["docs"] for r in shards.corpus_rollup(df, "lang").collect()} == {"a": 2, "b": 1, None: 3}

@@ -10,6 +10,9 @@ list's indentation, preformatted text keeps its white space, and the cells of a
 padded to one display width, that of its widest line of at most `MAX_CELL` columns; a longer line stays
 whole and moves what follows it. Nothing visible is lost: there is no boilerplate removal here.
 
+A tag or comment that the page's end cuts short isn't shown, and neither is what it swallows; declarations of any
+kind are comments, but CDATA within an svg is text.
+
 Cost is linear in the page: open elements are found by their tag, whatever the nesting, and rows are as
 long as their cells.
 """
@@ -63,6 +66,7 @@ MAX_CELL, MAX_COLSPAN, MAX_ROWSPAN = 100, 1000, 65534
 
 _title, _title_end = re.compile("(?i)<title(?=[\\s/>])"), re.compile("(?i)</title")
 _space = re.compile(r"[ \t\n\f\r]+")
+_comment_end = re.compile("--!?>")
 _style = re.compile(r"(?i)(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)")
 
 
@@ -123,6 +127,34 @@ class TreeBuilder(HTMLParser):
         """The element that content goes to."""
         return self.deep[-1][0] if self.deep else self.open[-1]
 
+    def _upto(self, end: int) -> int:
+        """Where the tokenizer goes on; at the page's end if what it looked for isn't there (`end` < 0)."""
+        return len(self.rawdata) if end < 0 else end
+
+    def parse_starttag(self, i: int) -> int:
+        return self._upto(super().parse_starttag(i))
+
+    def parse_endtag(self, i: int) -> int:
+        return self._upto(super().parse_endtag(i))
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        for empty in ("<!-->", "<!--->"):
+            if self.rawdata.startswith(empty, i):
+                return i + len(empty)
+        found = _comment_end.search(self.rawdata, i + 4)
+        return self._upto(found.end() if found else -1)
+
+    def parse_html_declaration(self, i: int) -> int:
+        if self.rawdata.startswith("<![CDATA[", i) and self._svg():
+            end = self.rawdata.find("]]>", i)
+            self.handle_data(self.rawdata[i + 9 : self._upto(end)])
+            return self._upto(end + 3 if end >= 0 else -1)
+        return self.parse_pi(i)
+
+    def parse_pi(self, i: int) -> int:
+        end = self.rawdata.find(">", i + 2)
+        return self._upto(end + 1 if end >= 0 else -1)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         attrs = dict(reversed(attrs))  # the first of equal names counts
         if tag == "html":

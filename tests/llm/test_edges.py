@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names, for every operator; methods by hand."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -92,6 +93,18 @@ def test_html_head_without_end():
     assert htmltext.render("<head><noscript><img src=x>no</noscript><style>s</style></head>yes") == "yes"
 
 
+def test_html_cut_markup_and_declarations():
+    for cut in ("<a href='x>y", "<a href", "<!-- no > <b>no", "</b", "</ no", "<!no", "<?no", "<![no"):
+        assert htmltext.render("<p>shown " + cut) == "shown", cut
+    assert htmltext.render("a<!-->b<!--->c<!-- > --!>d<!-- -- -->e") == "abcde"
+    assert htmltext.render("<!doctype html>a<![if !IE]>b<![endif]>c<![no such[x]]>d<?pi e='1'?>f<![>g<![CDATA[h]]>i") == "abcdfgi"
+    assert htmltext.render("<svg><text><![CDATA[a <b> c]]></text></svg>d") == "a <b> c d"
+    for part in ("<a ", "<a b='", "<!--", "</", "</a ", "<?", "<!x", "<!["):
+        began = time.process_time()
+        assert htmltext.render("<p>x" + part * 100_000) == "x"
+        assert time.process_time() - began < 5, part
+
+
 def test_html_svg_text():
     assert htmltext.render("a <svg><title>no</title><g><rect/><text>one<tspan>two</tspan></text><text>three</text></g>no</svg> b") == "a onetwo three b"
     assert htmltext.render("<svg><defs/><foreignObject><p>x<p>y</foreignObject></svg>z") == "x\n\ny\n\nz"

@@ -50,7 +50,29 @@ class _Node:
         return "".join(out)
 
 
-class _Tree(HTMLParser):
+class _Markup(HTMLParser):
+    """Tags and text; declarations of any kind are comments, and what the page's end cuts short goes."""
+
+    def _upto(self, end: int) -> int:
+        return len(self.rawdata) if end < 0 else end
+
+    def parse_starttag(self, i: int) -> int:
+        return self._upto(super().parse_starttag(i))
+
+    def parse_endtag(self, i: int) -> int:
+        return self._upto(super().parse_endtag(i))
+
+    def parse_comment(self, i: int, report: bool = True) -> int:
+        return self._upto(super().parse_comment(i, report))
+
+    def parse_pi(self, i: int) -> int:
+        end = self.rawdata.find(">", i + 2)
+        return self._upto(end + 1 if end >= 0 else -1)
+
+    parse_html_declaration = parse_pi
+
+
+class _Tree(_Markup):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = _Node("", {}, None)
@@ -144,7 +166,7 @@ def extract(html: str | None) -> tuple[str, str] | None:
     return title, text
 
 
-class _Links(HTMLParser):
+class _Links(_Markup):
     def __init__(self):
         super().__init__()
         self.found: list[str] = []

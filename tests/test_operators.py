@@ -132,6 +132,8 @@ def test_extract_rules():
     assert html.extract(PAGE.format("Read more " + long)) is None
     assert html.extract("") is None and html.extract(None) is None
     assert html.links('<a href="/x">1</a><!-- <a href="/no"> --><a href="/x"><a>') == ["/x", "/x"]
+    assert html.links('<![no such><a href="/x"><![if !IE]><a href="/y"><![endif]><![<a href="/no">') == ["/x", "/y"]
+    assert html.extract("<!doctype html><![no such>" + PAGE.format(long) + "<a " * 200_000) == ("T", f"T\n\nHead\n\n{long}")
 
 
 def test_batches_and_padding(spark):

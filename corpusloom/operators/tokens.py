@@ -16,9 +16,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
+from ..functions.slices import mapped
 from ..scratch import materialize
 
 _loaded: dict = {}
@@ -59,6 +60,11 @@ def load(path: str):
     return _loaded[path]
 
 
+def encoded(path: str, texts: list[str | None], *, special: bool = False) -> list:
+    """The library's encodings, some hundred bytes a token: only ever of a part of a batch."""
+    return load(path).encode_batch_fast([x or "" for x in texts], add_special_tokens=special)
+
+
 def encode_udf(path: str, *, max_length: int | None = None, special: bool = False):
     @pandas_udf(ArrayType(IntegerType()))
     def encode(text: pd.Series) -> pd.Series:
@@ -68,6 +74,16 @@ def encode_udf(path: str, *, max_length: int | None = None, special: bool = Fals
     return encode
 
 
+def count_udf(path: str, *, special: bool = False):
+    """Number of tokens; the ids stay in the worker."""
+
+    @arrow_udf(IntegerType())
+    def count(text: pa.Array) -> pa.Array:
+        return mapped(text, lambda texts: pa.array([len(e) for e in encoded(path, texts, special=special)], pa.int32()), pa.int32())
+
+    return count
+
+
 def decode_udf(path: str):
     @pandas_udf(StringType())
     def decode(ids: pd.Series) -> pd.Series:

@@ -346,7 +346,7 @@ def token_top(spark, d):
 
 @query()
 def token_lengths(spark, d):
-    docs = _documents(spark, d).select(F.size(tokens.encode_udf(tokens.default_path())(F.col("text"))).alias("length"))
+    docs = _documents(spark, d).select(tokens.count_udf(tokens.default_path())(F.col("text")).alias("length"))
     return tokens.length_stats(docs, "length")
 
 

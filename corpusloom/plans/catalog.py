@@ -222,7 +222,7 @@ def flagship_corpus(spark, d):
     docs = _documents(spark, d)
     judged = corpus.judge(docs, language.build_profiles(docs))
     millis = lambda c, name: F.floor(F.col(c) * 1000 + 0.5).alias(name)
-    return corpus.kept(judged).select("doc_id", "language", millis("lang_confidence", "confidence_millis"), millis("quality_score", "score_millis"), *T.counters(F.col("clean_text")), F.sha2("clean_text", 256).alias("content_hash"))
+    return corpus.kept(judged).select("doc_id", "language", millis("lang_confidence", "confidence_millis"), millis("quality_score", "score_millis"), *T.counters(F.col("clean_text"), F.col("n_words")), F.sha2("clean_text", 256).alias("content_hash"))
 
 
 @query(f"WITH {_LIBRARY} SELECT {_FUNNEL} FROM judged")

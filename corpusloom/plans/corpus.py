@@ -37,8 +37,7 @@ def judge(docs: DataFrame, profiles: DataFrame, config: CorpusConfig = CorpusCon
     """
     docs = hook(docs) if hook else docs
     cleaned = T.clean(docs, config.clean, title_col="title" if "title" in docs.columns else None)
-    cleaned = dedup._checkpoint(cleaned.drop("text"))
-    rows = language.with_language(cleaned, profiles, text_col="clean_text")
+    rows = language.with_language(cleaned.drop("text"), profiles, text_col="clean_text")
     rows = rows.withColumns(quality.counts(F.col("clean_text")))
     rows = rows.withColumn("quality_score", quality.score(config.quality)).withColumn("lang_confidence", F.round(F.col("best") / F.nullif("total", F.lit(0)), 4))
     good_language = language.language_gate(F.col("language"), F.col("best"), F.col("total"), min_confidence=config.min_confidence, allowed=config.languages)

@@ -79,13 +79,16 @@ def encode_udf(path: str, *, max_length: int | None = None, special: bool = Fals
 
 
 def count_udf(path: str, *, special: bool = False):
-    """Number of tokens; the ids stay in the worker."""
+    """Number of tokens; the ids stay in the worker.
+
+    It is marked as not deterministic only so that no filter on its result runs it a second time.
+    """
 
     @arrow_udf(IntegerType())
     def count(text: pa.Array) -> pa.Array:
         return mapped(text, lambda texts: pa.array([len(e) for e in encoded(path, texts, special=special)], pa.int32()), pa.int32())
 
-    return count
+    return count.asNondeterministic()
 
 
 def decode_udf(path: str):
